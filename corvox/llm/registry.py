@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corvox.llm.audio import audio_digests
 from corvox.llm.exact_dedup import exact_dedup
+from corvox.llm.packing import pack
 from corvox.llm.toxicity import toxicity
 
 
@@ -18,6 +21,14 @@ def remainder(column: str, n: int) -> Column:
     return F.crc32(F.col(column).cast("string").cast("binary")) % n
 
 
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op4_audio_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audio_digests(table(spark, sf_dir, "documents"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
@@ -29,6 +40,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_best_fit_packing": op2_best_fit_packing,
+    "op4_audio_features": op4_audio_features,
     "op7_exact_dedup": op7_exact_dedup,
     "op10_toxicity": op10_toxicity,
 }

@@ -10,8 +10,9 @@ number per n-gram bucket; a misspelt word shares most buckets with the word it h
 from __future__ import annotations
 
 import math
-import zlib
+from array import array
 from collections.abc import Iterator
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -19,19 +20,35 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 STRIP = ".,;:!?\"'()[]{}|*#$%&-_/\\<>+=~^`"
-BUCKETS, DIM, SCALE = 1 << 17, 8, 60.0
+BITS, DIM, SCALE = 17, 8, 60.0
+BUCKETS = 1 << BITS
+BASE, MIX = np.uint64(0x100000001B3), np.uint64(0x9E3779B97F4A7C15)
 MIN_N, MAX_N = 3, 5
 CACHE_WORDS = 200_000
 
 
-def subwords(word: str) -> list[int]:
-    """Buckets of the word and of its character n-grams, with marks at both ends."""
-    wide = f"<{word}>".encode("utf-32-le", "surrogatepass")  # four bytes a character
-    crc = zlib.crc32
-    grams = [crc(wide) % BUCKETS]
-    for n in range(4 * MIN_N, 4 * MAX_N + 1, 4):
-        grams += [crc(wide[i : i + n]) % BUCKETS for i in range(0, len(wide) - n + 1, 4)]
-    return grams
+def subwords(found: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(buckets, word numbers) of all words: each word itself and its character n-grams,
+    with marks at both ends."""
+    marked = [f"<{w.strip(STRIP)}>" for w in found]
+    sizes = np.fromiter(map(len, marked), np.int64, len(marked))
+    codes = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    starts = np.cumsum(sizes) - sizes
+    owner = np.repeat(np.arange(len(marked), dtype=np.int32), sizes)
+    place = np.arange(len(codes)) - starts[owner]
+    left = sizes[owner] - place
+    powers = np.cumprod(np.full(int(sizes.max()), BASE, np.uint64))
+    hashes, owners = [np.add.reduceat(codes * powers[place], starts)], [np.arange(len(marked), dtype=np.int32)]
+    for n in range(MIN_N, MAX_N + 1):
+        h = np.full(max(0, len(codes) - n + 1), n, np.uint64)
+        for k in range(n):
+            h = h * BASE + codes[k : k + len(h)]
+        inside = left[: len(h)] >= n
+        hashes.append(h[inside])
+        owners.append(owner[: len(h)][inside])
+    mixed = np.concatenate(hashes) * MIX
+    mixed ^= mixed >> np.uint64(29)
+    return ((mixed * MIX) >> np.uint64(64 - BITS)).astype(np.int32), np.concatenate(owners)
 
 
 def words(text: str | None) -> set[str]:
@@ -39,7 +56,7 @@ def words(text: str | None) -> set[str]:
     return set((text or "").lower().split())
 
 
-def train(texts: list[str], labels: list[int], epochs: int = 40, rate: float = 0.08, decay: float = 1e-5, seed: int = 7) -> tuple[np.ndarray, float]:
+def train(texts: list[str], labels: list[int], epochs: int = 60, rate: float = 0.12, decay: float = 1e-5, seed: int = 7) -> tuple[np.ndarray, float]:
     """Return (score of each bucket, bias): the softmax's margin for toxic.
 
     One class alone, or no row, gives a model with that class's constant score.
@@ -48,48 +65,45 @@ def train(texts: list[str], labels: list[int], epochs: int = 40, rate: float = 0
     if not len(y) or y.min() == y.max():
         return np.zeros(BUCKETS), (8.0 if len(y) and y[0] else -8.0)
     index: dict[str, int] = {}
-    doc_words, lengths = [], []
+    doc_words, lengths = array("i"), []
     for text in texts:
         ids = [index.setdefault(w, len(index)) for w in sorted(words(text))]
-        doc_words += ids
+        doc_words.extend(ids)
         lengths.append(len(ids))
     if not index:
         return np.zeros(BUCKETS), float(np.log(y.mean() / (1 - y.mean())))
-    grams = [subwords(w.strip(STRIP)) for w in index]
-    flat = np.fromiter((b for g in grams for b in g), dtype=np.int64)
-    per_word = np.array([len(g) for g in grams])
-    used, flat = np.unique(flat, return_inverse=True)
-    word_start = np.concatenate([[0], np.cumsum(per_word)[:-1]])
-    doc_words, lengths = np.array(doc_words), np.array(lengths)
-    doc_of = np.repeat(np.arange(len(lengths)), lengths)
-    share = 1.0 / np.maximum(lengths, 1)
-    weight = np.where(y > 0, 0.3 / y.sum(), 0.7 / (len(y) - y.sum()))  # rejecting a clean text costs more
+    flat, gram_word = subwords(list(index))
+    per_word = np.bincount(gram_word, minlength=len(index))
+    doc_words, lengths = np.frombuffer(doc_words, np.int32), np.array(lengths)
+    doc_of = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
+    share = SCALE / np.maximum(lengths, 1)
+    weight = np.where(y > 0, 0.35 / y.sum(), 0.65 / (len(y) - y.sum()))  # rejecting a clean text costs more
 
     rng = np.random.default_rng(seed)
-    vectors = rng.normal(0, 0.05, (len(used), DIM))
+    vectors = rng.normal(0, 0.05, (DIM, BUCKETS))
     softmax = rng.normal(0, 0.5, (DIM, 2))
     bias = np.zeros(2)
     params = [vectors, softmax, bias]
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in params]
-    gather = lambda values, ids, n: np.stack([np.bincount(ids, values[:, d], n) for d in range(values.shape[1])], axis=1)
-    gram_word = np.repeat(np.arange(len(per_word)), per_word)
     target = np.stack([1 - y, y], axis=1)
+    doc_vec, by_gram = np.empty((len(y), DIM)), np.empty_like(vectors)
     for step in range(1, epochs + 1):
-        word_vec = np.add.reduceat(vectors[flat], word_start, axis=0) / per_word[:, None]
-        doc_vec = gather(word_vec[doc_words] , doc_of, len(y)) * (SCALE * share)[:, None]
+        for d in range(DIM):
+            word_value = np.bincount(gram_word, vectors[d][flat], len(per_word)) / per_word
+            doc_vec[:, d] = np.bincount(doc_of, word_value[doc_words], len(y)) * share
         logits = doc_vec @ softmax + bias
         p = np.exp(logits - logits.max(axis=1, keepdims=True))
         p /= p.sum(axis=1, keepdims=True)
         g = (p - target) * weight[:, None]
-        g_doc = g @ softmax.T * (SCALE * share)[:, None]
-        g_word = gather(g_doc[doc_of], doc_words, len(per_word)) / per_word[:, None]
-        grads = [gather(g_word[gram_word], flat, len(used)) + decay * vectors, doc_vec.T @ g, g.sum(axis=0)]
-        for param, grad, (m, v) in zip(params, grads, moments, strict=True):
+        g_doc = g @ softmax.T * share[:, None]
+        for d in range(DIM):
+            g_word = np.bincount(doc_words, g_doc[:, d][doc_of], len(per_word)) / per_word
+            by_gram[d] = np.bincount(flat, g_word[gram_word], BUCKETS) + decay * vectors[d]
+        for param, grad, (m, v) in zip(params, [by_gram, doc_vec.T @ g, g.sum(axis=0)], moments, strict=True):
             m += 0.1 * (grad - m)
             v += 0.01 * (grad * grad - v)
             param -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
-    scores = np.zeros(BUCKETS)
-    scores[used] = vectors @ (softmax[:, 1] - softmax[:, 0]) * SCALE
+    scores = (softmax[:, 1] - softmax[:, 0]) @ vectors * SCALE
     return scores, float(bias[1] - bias[0])
 
 
@@ -105,20 +119,29 @@ class Scorer(dict):
         super().__init__()
         self.scores, self.bias = scores, bias
 
-    def __missing__(self, word: str) -> int:
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        value = self[word] = round(float(self.scores[subwords(word.strip(STRIP))].mean(dtype=np.float64)) * self.UNIT)
-        return value
-
-    def score(self, text: str | None) -> float:
-        found = words(text)
-        margin = self.bias + sum(map(self.__getitem__, found)) / (self.UNIT * max(1, len(found)))
-        return 1 / (1 + math.exp(-min(30.0, max(-30.0, margin))))
-
-
-def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, usable: Column, rows_per_class: int) -> list:
-    """At most about ``rows_per_class`` rows of each class, chosen by a hash of the id."""
+    def learn(self, found: list[str]) -> None:
+        for k in range(0, len(found), 20_000):
+            part = found[k : k + 20_000]
+            buckets, owner = subwords(part)
+            mean = np.bincount(owner, self.scores[buckets], len(part)) / np.bincount(owner, minlength=len(part))
+            self.update(zip(part, np.rint(mean * self.UNIT).astype(np.int64).tolist(), strict=True))
+
+    def score(self, texts: list[str | None]) -> Iterator[float]:
+        for k in range(0, len(texts), 64):
+            if len(self) > CACHE_WORDS:
+                self.clear()
+            some = [words(t) for t in texts[k : k + 64]]
+            new: set[str] = set()
+            for found in some:
+                new.update(filterfalse(self.__contains__, found))
+            self.learn(list(new))
+            for found in some:
+                margin = self.bias + sum(map(self.__getitem__, found)) / (self.UNIT * max(1, len(found)))
+                yield 1 / (1 + math.exp(-min(30.0, max(-30.0, margin))))
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, usable: Column, bounds: dict[int, int]) -> list:
+    """At most about ``bounds[y]`` rows of class y, chosen by a hash of the id."""
     usable_labels = labels.where(F.col(label_col).isin(0, 1) & usable).select(F.col(id_col).alias("_id"), F.col(label_col).alias("_y")).distinct()
     counts = {r["_y"]: r["count"] for r in usable_labels.groupBy("_y").count().collect()}
     if not counts:
@@ -126,24 +149,24 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: s
     unit = F.pmod(F.xxhash64(F.lit("toxicity"), F.col("_id")), F.lit(1_000_003)) / F.lit(1_000_003.0)
     share = F.lit(0.0)
     for label, n in counts.items():
-        share = F.when(F.col("_y") == label, F.lit(min(1.0, rows_per_class / n))).otherwise(share)
-    chosen = F.broadcast(usable_labels.where(unit < share))  # about two times rows_per_class ids
+        share = F.when(F.col("_y") == label, F.lit(min(1.0, bounds[label] / n))).otherwise(share)
+    chosen = F.broadcast(usable_labels.where(unit < share))  # about as many ids as the bounds say
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(chosen, "_id").select("_id", "_text", "_y").collect()
     return sorted(rows, key=lambda r: (r["_id"], r["_y"], r["_text"] or ""))
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", held_out: Column | None = None, rows_per_class: int = 1500, **training) -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", held_out: Column | None = None, rows_toxic: int = 1000, rows_clean: int = 2000, **training) -> DataFrame:
     """Add ``score`` (0 to 1, higher: toxic likelier) and ``predicted`` to every row of ``docs``.
 
     ``labels`` (id, 0/1) may cover any part of the rows; those for which ``held_out`` holds
     (an expression on the id) are not learned from. The fit uses at most about
-    ``rows_per_class`` labelled rows of each class, whole texts; scoring reads every row and
+    ``rows_toxic`` and ``rows_clean`` labelled rows, whole texts; scoring reads every row and
     whole text. Null and empty texts, and texts without words, get the bias's score. Null
     labels and ids are not learned from; repeated rows are scored alike. All columns of
     ``docs`` stay; one named like an output is replaced.
     """
     usable = F.col(id_col).isNotNull() & (F.lit(True) if held_out is None else ~held_out)
-    sample = labelled_sample(docs, labels, id_col, text_col, label_col, usable, rows_per_class)
+    sample = labelled_sample(docs, labels, id_col, text_col, label_col, usable, {1: rows_toxic, 0: rows_clean})
     model, bias = train([r["_text"] for r in sample], [r["_y"] for r in sample], **training)
     model = docs.sparkSession.sparkContext.broadcast((model.astype(np.float32), bias))  # 2**17 numbers
 
@@ -155,8 +178,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
         scorer = Scorer(*model.value)
         for batch in batches:
             column = batch.column(batch.schema.get_field_index(at))
-            score = pa.array([scorer.score(t.as_py()) for t in column], pa.float64())
-            predicted = pa.array([int(s.as_py() >= 0.5) for s in score], pa.int32())
+            scores = list(scorer.score(column.to_pylist()))
+            score, predicted = pa.array(scores, pa.float64()), pa.array([int(s >= 0.5) for s in scores], pa.int32())
             keep = [i for i, n in enumerate(batch.schema.names) if n != "_scored"]
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in keep), score, predicted], names=[*(batch.schema.names[i] for i in keep), "score", "predicted"])
 
