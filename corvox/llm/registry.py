@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 
 from corvox.llm.audio import audio_digests
 from corvox.llm.exact_dedup import exact_dedup
+from corvox.llm.langid import identify
 from corvox.llm.packing import pack
 from corvox.llm.toxicity import toxicity
+from corvox.llm.url_filter import filter_urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +35,19 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = remainder("doc_id", 3) == 1
+    found = identify(table(spark, sf_dir, "documents"), held_out=held_out)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
+
+
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_urls(table(spark, sf_dir, "pages"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", remainder("doc_id", 5) == 0)
     scored = toxicity(docs, table(spark, sf_dir, "labels"), held_out=remainder("doc_id", 5) == 0)
@@ -43,6 +58,8 @@ QUERIES = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op4_audio_features": op4_audio_features,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_language_id": op8_language_id,
+    "op9_url_filter": op9_url_filter,
     "op10_toxicity": op10_toxicity,
 }
 
