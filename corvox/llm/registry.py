@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 from corvox.llm.audio import audio_digests
 from corvox.llm.exact_dedup import exact_dedup
 from corvox.llm.langid import identify
+from corvox.llm.mixing import mixing_rates
+from corvox.llm.ngram_join import ngram_components
 from corvox.llm.packing import pack
+from corvox.llm.sharding import reshard
 from corvox.llm.toxicity import toxicity
 from corvox.llm.url_filter import filter_urls
 
@@ -27,10 +30,28 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op3_flow_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From 32 shards by a hash of the id to 40 shards of equal row counts."""
+    placed = reshard(table(spark, sf_dir, "documents"), remainder("doc_id", 32), 40)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "old_shard")
+
+
 def op4_audio_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audio_digests(table(spark, sf_dir, "documents"))
 
 
+DOMAIN = F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 1, "clean").when(F.col("quality") == 0, "junk")
+MIXTURE = {"clean": 0.88, "junk": 0.07, "toxic": 0.05}
+
+
+def op5_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing_rates(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), DOMAIN, MIXTURE)
+
+
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_components(table(spark, sf_dir, "documents"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
@@ -56,7 +77,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_flow_resharding": op3_flow_resharding,
     "op4_audio_features": op4_audio_features,
+    "op5_soft_mixing": op5_soft_mixing,
+    "op6_ngram_join": op6_ngram_join,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_language_id": op8_language_id,
     "op9_url_filter": op9_url_filter,
