@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 
 from corvox.llm._shared import distributed_rank, materialize
 
-CACHE_CHUNKS = 500_000
+CACHE_CHUNKS = 800_000
 
 
 @lru_cache(maxsize=2)

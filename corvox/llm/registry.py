@@ -15,6 +15,7 @@ from corvox.llm.packing import pack
 from corvox.llm.sharding import reshard
 from corvox.llm.toxicity import toxicity
 from corvox.llm.url_filter import filter_urls
+from corvox.llm.warc import resolve_revisits
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +27,30 @@ def remainder(column: str, n: int) -> Column:
     return F.crc32(F.col(column).cast("string").cast("binary")) % n
 
 
+def op1_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as a full response and as a later visit that found it not modified.
+
+    A page is captured at second 1000 * page_id, with its body's MD5 as ETag; the second
+    visit is 500 seconds later, or 500 earlier for every fifth id, and every fourth has the
+    ETag of another body.
+    """
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", F.md5(F.coalesce("html", F.lit(""))).alias("md5"), F.octet_length(F.coalesce("html", F.lit(""))).cast("string").alias("size"))
+    page = F.col("page_id")
+    first = pages.select(
+        (2 * page).alias("record_id"), "url", F.lit("response").alias("type"), F.lit(200).alias("status"), (1000 * page).alias("t"),
+        F.create_map(F.lit("etag"), F.concat(F.lit('W/"'), "md5", F.lit('"')), F.lit("content-length"), F.col("size"), F.lit("date"), (1000 * page).cast("string"), F.lit("server"), F.lit("a")).alias("headers"),
+    )
+    tag = F.when(page % 4 == 0, F.md5(F.concat("md5", F.lit("+")))).otherwise(F.col("md5"))
+    later = F.when(page % 5 == 0, 1000 * page - 500).otherwise(1000 * page + 500)
+    second = pages.select(
+        (2 * page + 1).alias("record_id"), "url", F.lit("revisit").alias("type"), F.lit(304).alias("status"), later.alias("t"),
+        F.create_map(F.lit("etag"), F.concat(F.lit('"'), tag, F.lit('"')), F.lit("content-length"), F.lit("0"), F.lit("date"), later.cast("string"), F.lit("cache-control"), F.lit("no-cache")).alias("headers"),
+    )
+    found = resolve_revisits(first.unionByName(second), "t")
+    names = ("etag", "content-length", "date", "server", "cache-control")
+    return found.select("record_id", "canonical_url", "source_id", "outcome", *(F.element_at("headers", n).alias(n.replace("-", "_")) for n in names))
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -76,6 +101,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_warc_revisits": op1_warc_revisits,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_flow_resharding": op3_flow_resharding,
     "op4_audio_features": op4_audio_features,
@@ -87,7 +113,25 @@ QUERIES = {
     "op10_toxicity": op10_toxicity,
 }
 
+_CANONICAL = r"""
+        WITH a AS (SELECT page_id, url, md5(coalesce(html, '')) AS md5, strlen(coalesce(html, '')) AS size, regexp_replace(url, '#[\s\S]*$', '') AS plain FROM pages),
+        b AS (SELECT *, regexp_extract(plain, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?]*') AS host FROM a),
+        c AS (SELECT *, substr(plain, length(host) + 1) AS rest FROM b),
+        d AS (SELECT *, regexp_extract(rest, '^[^?]*') AS path FROM c),
+        e AS (SELECT *, regexp_replace(regexp_replace(regexp_replace(regexp_replace(substr(rest, length(path) + 1), '([?&])utm_[^&]*', '\1', 'g'), '&+', '&', 'g'), '^\?&', '?'), '[?&]$', '') AS query FROM d),
+        p AS (SELECT page_id, md5, size, CASE WHEN host = '' THEN url ELSE
+            regexp_replace(regexp_replace(lower(host), '^(http://[^/?]*):80$', '\1'), '^(https://[^/?]*):443$', '\1')
+            || CASE WHEN path = '' THEN '/' ELSE path END || query END AS canonical_url FROM e)"""
+
 ORACLE = {
+    "op1_warc_revisits": _CANONICAL + """,
+        r AS (SELECT 2 * page_id AS id, canonical_url, 1000 * page_id AS t, 'W/"' || md5 || '"' AS etag, md5, size FROM p),
+        v AS (SELECT 2 * page_id + 1 AS record_id, canonical_url, CASE WHEN page_id % 5 = 0 THEN 1000 * page_id - 500 ELSE 1000 * page_id + 500 END AS t,
+            CASE WHEN page_id % 4 = 0 THEN md5(md5 || '+') ELSE md5 END AS tag FROM p),
+        j AS (SELECT v.*, r.id AS source_id, r.md5, r.size FROM v ASOF LEFT JOIN r ON v.canonical_url = r.canonical_url AND v.t > r.t)
+        SELECT record_id, canonical_url, source_id, CASE WHEN source_id IS NULL THEN 'orphan' WHEN tag = md5 THEN 'merged' ELSE 'mismatch' END AS outcome,
+            CASE WHEN tag = md5 THEN '"' || tag || '"' END AS etag, CASE WHEN tag = md5 THEN size::VARCHAR END AS content_length, CASE WHEN tag = md5 THEN t::VARCHAR END AS date,
+            CASE WHEN tag = md5 THEN 'a' END AS server, CASE WHEN tag = md5 THEN 'no-cache' END AS cache_control FROM j""",
     "op7_exact_dedup": """
         WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
         g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
