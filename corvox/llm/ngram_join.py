@@ -15,9 +15,9 @@
   permitting), one pair a group and not all pairs. Pairs are expanded to their classes,
   filtered by a parity bitmap (its Hamming distance is at most the size of the symmetric
   difference, so no link is lost), verified on whole sets, and joined to components.
-* *The rest.* Then every pair of classes of a list that still lie in different components
-  is expanded, filtered and verified in the same way. A cluster has collapsed by then, so
-  what is left are pairs that share a rare shingle and are not linked.
+* *The rest.* Then the classes of a list that still lie in different components are compared,
+  in blocks and in arrays, by size, by the place of the shared shingle (what comes after it
+  must suffice for a link) and by bitmap; only pairs that pass are given out and verified.
 """
 
 from __future__ import annotations
@@ -37,6 +37,7 @@ from corvox.llm.shingles import mix, shingle_sets
 
 U = np.uint64
 COUNT_BITS, CHUNK_BITS, MAP_BITS = 23, 17, 10
+BLOCK = 4096
 FLUSH = 1 << 21  # prefix shingles held by a task before they are sent
 BROADCAST_IDS = 2_000_000  # document ids (8 bytes each) broadcast at most
 
@@ -118,7 +119,7 @@ def prefixes(texts: DataFrame, table: np.ndarray, size: int, pct: int, parts: in
 
     def packed(held: list) -> pa.RecordBatch:
         shingles, groups, sizes = (np.concatenate([h[k] for h in held]) for k in range(3))
-        part = (mix(shingles | U(1)) >> U(40)) % U(parts)
+        part = (mix(shingles >> U(8)) >> U(40)) % U(parts)
         by = np.argsort(part, kind="stable")
         edges = np.searchsorted(part[by], np.arange(parts + 1, dtype=np.uint64))
         full = [p for p in range(parts) if edges[p] < edges[p + 1]]
@@ -137,13 +138,14 @@ def prefixes(texts: DataFrame, table: np.ndarray, size: int, pct: int, parts: in
                     continue
                 u, u2 = set_key(found)
                 by = np.argsort(rank[found >> U(64 - COUNT_BITS)], kind="stable")
-                probe, index = n - -(-pct * n // 100) + 1, n - -(-2 * pct * n // (100 + pct)) + 1
+                probe = n - -(-pct * n // 100) + 1
                 prefix = found[by[:probe]]
                 g = int(np.sum(mix(prefix ^ U(2 * n)), dtype=np.uint64).view(np.int64))
                 rows.append((n, u, u2, g, parity(found)))
                 if g not in sent:
                     sent.add(g)
-                    held.append(((prefix & ~U(1)) | (np.arange(probe) < index).astype(np.uint64), np.full(probe, g, np.int64), np.full(probe, n, np.int32)))
+                    place = (256 * np.arange(probe, dtype=np.uint64)) // U(probe)  # of 256 parts of the prefix
+                    held.append(((prefix & ~U(255)) | place, np.full(probe, g, np.int64), np.full(probe, n, np.int32)))
                     n_held += probe
                     if n_held > FLUSH:
                         yield packed(held)
@@ -159,9 +161,12 @@ def prefixes(texts: DataFrame, table: np.ndarray, size: int, pct: int, parts: in
 
 
 def group_lists(packed: DataFrame, pct: int) -> DataFrame:
-    """(list, g, n, flag, pivot): groups that share a prefix shingle. flag: it is in the
-    index prefix. pivot: the group of the list to try this one with first, or null."""
-    names = ["list", "g", "n", "flag", "pivot"]
+    """(list, g, n, place, pivot): groups that share a prefix shingle. place: a lower bound of its
+    place in the group's prefix. pivot: the group of the list to try this one with first, or
+    null. Shingles with the same groups give one list, with the first place of each group; as
+    all prefixes have one order, that is where each two of these groups first meet."""
+    names = ["list", "g", "n", "place", "pivot"]
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [[], [], []]
@@ -172,50 +177,117 @@ def group_lists(packed: DataFrame, pct: int) -> DataFrame:
         if not held[0]:
             return
         shingle, g, n = (np.concatenate(h) for h in held)
-        key = shingle >> U(1)
+        key = shingle >> U(8)
         by = np.argsort(key)
         k = key[by]
         same = k[1:] == k[:-1]
         met = by[np.concatenate([same, [False]]) | np.concatenate([[False], same])]
+        if not len(met):
+            return
         met = met[np.lexsort((g[met], n[met], key[met]))]
-        key, g, n, flag = key[met], g[met], n[met], (shingle[met] & U(1)).astype(bool)
-        once = np.concatenate([[True], (key[1:] != key[:-1]) | (g[1:] != g[:-1])]) if len(key) else np.zeros(0, bool)
-        key, g, n, flag = key[once], g[once], n[once], flag[once]
-        edges = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]])) if len(key) else [0]
-        seen, out = set(), [[], [], [], [], []]
-        code = mix(g.view(np.uint64) * U(2) + flag.astype(np.uint64))
-        for a, b in zip(edges[:-1], edges[1:], strict=True):
+        key, g, n = key[met], g[met], n[met].astype(np.int64)
+        probe = n - -(-pct * n // 100) + 1
+        place = -(-((shingle[met] & U(255)).astype(np.int64) * probe) // 256)
+        early = place < n - -(-2 * pct * n // (100 + pct)) + 1  # in the index prefix
+        once = np.concatenate([[True], (key[1:] != key[:-1]) | (g[1:] != g[:-1])])
+        key, g, n, place, early = key[once], g[once], n[once], place[once], early[once]
+        code = mix(g.view(np.uint64))
+        edges = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]]))
+        lists: dict[int, list] = {}
+        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
             if b - a < 2:
                 continue
-            m = n[a:b].astype(np.int64)
-            # a group stays if some other group fits it: the nearest size, or the same
+            m = n[a:b]
+            # a group stays if some other fits it: the smaller of two has the shingle in its index prefix
             low = np.searchsorted(m, -(-pct * m // 100))
-            flags = np.concatenate([[0], np.cumsum(flag[a:b])])
+            before = np.concatenate([[0], np.cumsum(early[a:b])])
             here = np.arange(b - a)
-            smaller = flags[here] - flags[low] > 0
-            high = np.searchsorted(m, 100 * m // pct, side="right")
-            larger = flag[a:b] & (high > here + 1)
-            keep = smaller | larger
+            keep = (before[here] - before[low] > 0) | (early[a:b] & (np.searchsorted(m, 100 * m // pct, side="right") > here + 1))
             if keep.sum() < 2:
                 continue
             digest = int(np.sum(code[a:b][keep], dtype=np.uint64).view(np.int64))
-            if digest in seen:
-                continue
-            seen.add(digest)
-            gs, ms, fs = g[a:b][keep], m[keep], flag[a:b][keep]
-            pivots: list[int | None] = []
-            p = None
+            if digest in lists:
+                np.minimum(lists[digest][2], place[a:b][keep], out=lists[digest][2])
+            else:
+                lists[digest] = [g[a:b][keep], m[keep], place[a:b][keep]]
+        out, size = [[], [], [], [], []], 0
+        for digest, (gs, ms, ps) in lists.items():
+            pivots, p = [], None
             for at in range(len(gs)):
                 if p is not None and 100 * ms[p] >= pct * ms[at]:
                     pivots.append(int(gs[p]))
                 else:
                     pivots.append(None)
                     p = at
-            for col, values in zip(out, ([digest] * len(gs), gs, ms, fs, pivots), strict=True):
+            for col, values in zip(out, ([digest] * len(gs), gs, ms, ps, pivots), strict=True):
                 col.extend(values)
-        yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int32()), pa.array(out[3], pa.bool_()), pa.array(out[4], pa.int64())], names=names)
+            size += len(gs)
+            if size > 100_000:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], names=names)
+                out, size = [[], [], [], [], []], 0
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], names=names)
+
+    return packed.mapInArrow(run, "list long, g long, n int, place int, pivot long")
+
 
-    return packed.mapInArrow(run, "list long, g long, n int, flag boolean, pivot long")
+def unlike_pairs(entries: DataFrame, pct: int) -> DataFrame:
+    """Pairs (a, b) of one list and different components that sizes, places and bitmaps allow.
+
+    ``entries``: list, u, n, place, root, bits. A list is compared in blocks of BLOCK entries by
+    BLOCK, each block pair a group of its own; pairs are made and filtered in arrays, and only
+    those that may be links leave the task.
+    """
+    counts = entries.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    mine = entries.join(counts, "list").withColumn("mine", F.pmod(F.xxhash64("u"), F.col("blocks")).cast("int"))
+    dealt = mine.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    keyed = dealt.select("list", F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y"), "mine", "u", "n", "place", "root", "bits")
+    least = needed(pct)
+
+    def compare(rows: dict) -> tuple[np.ndarray, np.ndarray]:
+        left = np.flatnonzero(rows["mine"] == rows["x"][0])
+        right = np.flatnonzero(rows["mine"] == rows["y"][0])
+        bits = np.frombuffer(b"".join(rows["bits"]), np.uint64).reshape(len(rows["u"]), -1)
+        u, n, place, root = (np.array(rows[c], np.int64) for c in ("u", "n", "place", "root"))
+        pairs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for i in left:
+            j = right[(root[right] != root[i]) & (u[right] != u[i])]
+            want = least(n[i], n[j])
+            j = j[(n[j] - place[j] >= want) & (n[i] - place[i] >= want) & (100 * np.minimum(n[i], n[j]) >= pct * np.maximum(n[i], n[j]))]
+            if len(j):
+                apart = np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1, dtype=np.int64)
+                j = j[apart <= n[i] + n[j] - 2 * least(n[i], n[j])]
+                pairs[0].append(np.minimum(u[i], u[j]))
+                pairs[1].append(np.maximum(u[i], u[j]))
+        return np.concatenate(pairs[0]), np.concatenate(pairs[1])
+
+    names = ["list", "x", "y", "mine", "u", "n", "place", "root", "bits"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_key, open_rows = None, []
+
+        def closed() -> pa.RecordBatch:
+            columns = {c: np.concatenate([r[c] for r in open_rows]) if c != "bits" else [b for r in open_rows for b in r[c]] for c in names}
+            a, b = compare(columns)
+            one = np.unique(np.stack([a, b], axis=1), axis=0)
+            return pa.RecordBatch.from_arrays([pa.array(one[:, 0], pa.int64()), pa.array(one[:, 1], pa.int64())], names=["a", "b"])
+
+        for batch in batches:
+            columns = {c: batch.column(k).to_pylist() if c == "bits" else batch.column(k).to_numpy(zero_copy_only=False) for k, c in enumerate(names)}
+            keys = list(zip(columns["list"].tolist(), columns["x"].tolist(), columns["y"].tolist(), strict=True))
+            start = 0
+            for at in range(1, len(keys) + 1):
+                if at == len(keys) or keys[at] != keys[start]:
+                    if keys[start] != open_key:
+                        if open_rows:
+                            yield closed()
+                        open_key, open_rows = keys[start], []
+                    open_rows.append({c: v[start:at] for c, v in columns.items()})
+                    start = at
+        if open_rows:
+            yield closed()
+
+    sorted_rows = keyed.repartition(width(entries.sparkSession), "list", "x", "y").sortWithinPartitions("list", "x", "y")
+    return sorted_rows.mapInArrow(run, "a long, b long").distinct()
 
 
 def needed(pct: int):
@@ -295,7 +367,7 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         "join-classes",
     )
     met = group_lists(scanned.where("part is not null").select("part", "shingles", "groups", "sizes").repartition(tasks, "part").select("shingles", "groups", "sizes"), pct)
-    lists = materialize(met.dropDuplicates(["list", "g"]), "join-lists")
+    lists = materialize(met.groupBy("list", "g").agg(F.first("n").alias("n"), F.min("place").alias("place"), F.first("pivot", ignorenulls=True).alias("pivot")), "join-lists")
     members = classes.select("g", "u", "n")
     heads = members.groupBy("g").agg(F.min("u").alias("head"), F.max("u").alias("tail"))
     several = members.join(heads.where("head <> tail"), "g").select("g", "u", "n", "head")
@@ -311,16 +383,13 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     roots = components(links)
 
     entries = (
-        lists.select("list", "g", "flag").join(members, "g").select("list", "u", "n", "flag")
-        .union(several.select(F.col("g").alias("list"), "u", "n", F.lit(True)))
-        .join(roots, F.col("u") == F.col("node"), "left").select("list", "u", "n", "flag", F.coalesce("root", "u").alias("root"))
+        lists.select("list", "g", "place").join(members, "g").select("list", "u", "n", "place")
+        .union(several.select(F.col("g").alias("list"), "u", "n", F.lit(0)))
+        .join(roots, F.col("u") == F.col("node"), "left").select("list", "u", "n", "place", F.coalesce("root", "u").alias("root"))
     )
     open_lists = entries.groupBy("list").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("list")
-    left = materialize(entries.join(open_lists, "list", "left_semi"), "join-open")
-    x, y = left.alias("x"), left.alias("y")
-    smaller = (F.col("x.list") == F.col("y.list")) & (F.col("x.root") != F.col("y.root")) & F.col("x.flag") & (F.col("x.n") <= F.col("y.n")) & (100 * F.col("x.n") >= pct * F.col("y.n"))
-    rest = x.join(y, smaller).select(F.least("x.u", "y.u").alias("a"), F.greatest("x.u", "y.u").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
-    second = materialize(filtered(rest, classes, pct), "join-pairs")
+    left = materialize(entries.join(open_lists, "list", "left_semi").join(classes.select("u", "bits"), "u"), "join-open")
+    second = materialize(unlike_pairs(left, pct).join(first, ["a", "b"], "left_anti"), "join-pairs")
     more = verified(second, classes, texts, size, pct)
     settled = materialize(links.union(more), "join-links")
     roots = components(settled)
