@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corvox.llm._shared import small_batches
+
 RATE, UP, DOWN, TAPS = 16_000, 1, 2, 32
 FRAME, HOP, BANDS, WINDOW = 256, 128, 16, 32
 BLOCK = 1 << 18  # samples worked on at a time; a multiple of DOWN * HOP / UP
@@ -151,6 +153,7 @@ def audio_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     Null and empty texts are one block of zero bytes. Equal texts get equal values; ties,
     repeated rows and null ids pass through. Other columns are not read.
     """
+    small_batches(docs.sparkSession)
     source = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     fields = {"n_bytes": pa.int64(), "payload_bytes": pa.int64(), "payload_sha256": pa.string(), "tail_crc32": pa.int64(), "media_bytes": pa.int64(), "media_sha256": pa.string(), "feature": pa.string()}
     schema = f"_id {source.schema['_id'].dataType.simpleString()}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
@@ -174,6 +177,7 @@ def audio_features(media: DataFrame, id_col: str, media_col: str) -> DataFrame:
     """One row per window of each WAV in ``media_col``: id, window, start_s, end_s, tensor
     (WINDOW * BANDS floats; ``as_tensor`` gives it its shape) and the file's segments.
     Null media gives no rows."""
+    small_batches(media.sparkSession)
     source = media.select(F.col(id_col).alias("_id"), F.col(media_col).alias("_media")).where(F.col("_media").isNotNull())
     span = T.ArrayType(T.StructType([T.StructField("start_s", T.DoubleType()), T.StructField("end_s", T.DoubleType())]))
     schema = T.StructType([T.StructField("_id", source.schema["_id"].dataType), T.StructField("window", T.IntegerType()), T.StructField("start_s", T.DoubleType()), T.StructField("end_s", T.DoubleType()), T.StructField("tensor", T.ArrayType(T.FloatType())), T.StructField("segments", span)])

@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corvox.llm._shared import small_batches
+
 WORD = re.compile(r"[^\W\d_]+")
 MAX_N, CACHE_WORDS, SMOOTH = 5, 200_000, 0.5
 EVIDENCE = 25  # words' worth of evidence that a long text's score rests on, at most
@@ -121,6 +123,7 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     Of equally likely languages the first in order of names is given. Repeated rows are
     predicted alike, null ids pass through, other columns are not read.
     """
+    small_batches(docs.sparkSession)
     usable = F.lit(True) if held_out is None else ~held_out
     model = docs.sparkSession.sparkContext.broadcast(Model(labelled_sample(docs, text_col, lang_col, id_col, usable, rows_per_lang)))
     source = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))

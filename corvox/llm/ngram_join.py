@@ -31,14 +31,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvox.llm._shared import materialize, width
+from corvox.llm._shared import materialize, small_batches, width
 from corvox.llm.components import components
 from corvox.llm.shingles import mix, shingle_sets
 
 U = np.uint64
 COUNT_BITS, CHUNK_BITS, MAP_BITS = 23, 17, 10
 BLOCK = 4096
-FLUSH = 1 << 21  # prefix shingles held by a task before they are sent
+FLUSH = 1 << 20  # prefix shingles held by a task before they are sent
 BROADCAST_IDS = 2_000_000  # document ids (8 bytes each) broadcast at most
 
 
@@ -358,6 +358,7 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     component; ids are whole numbers. Other columns are not read. An empty table gives no
     rows.
     """
+    small_batches(docs.sparkSession)
     tasks = width(docs.sparkSession)
     texts = _texts(docs, id_col, text_col)
     scanned = materialize(prefixes(texts, shingle_counts(texts, size), size, pct, 4 * tasks), "join-scan")

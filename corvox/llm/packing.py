@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corvox.llm._shared import distributed_rank, materialize
+from corvox.llm._shared import distributed_rank, materialize, small_batches
 
 CACHE_CHUNKS = 800_000
 
@@ -188,6 +188,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int = 0,
     last one. Other columns are not read. An empty table gives no rows.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     pieces = materialize(cut(docs, tokenizer, capacity, end_id, id_col, text_col, with_ids), "pack-pieces")
     counts = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}  # at most `capacity` rows
     places = spark.createDataFrame(sweeps(counts, capacity) or [(0, 0, 0, 0, 0)], "_length long, _from long, _to long, _sequence long, offset long")

@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corvox.llm._shared import small_batches
+
 STRIP = ".,;:!?\"'()[]{}|*#$%&-_/\\<>+=~^`"
 BITS, DIM, SCALE = 17, 8, 60.0
 BUCKETS = 1 << BITS
@@ -72,8 +74,11 @@ def train(texts: list[str], labels: list[int], epochs: int = 60, rate: float = 0
         lengths.append(len(ids))
     if not index:
         return np.zeros(BUCKETS), float(np.log(y.mean() / (1 - y.mean())))
-    flat, gram_word = subwords(list(index))
-    per_word = np.bincount(gram_word, minlength=len(index))
+    blocks, known = [], list(index)
+    for k in range(0, len(known), 20_000):  # in blocks, so that work arrays stay small
+        flat, owner = subwords(known[k : k + 20_000])
+        blocks.append((flat, owner, k, min(k + 20_000, len(known))))
+    per_word = np.concatenate([np.bincount(owner, minlength=b - a) for _, owner, a, b in blocks])
     doc_words, lengths = np.frombuffer(doc_words, np.int32), np.array(lengths)
     doc_of = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
     share = SCALE / np.maximum(lengths, 1)
@@ -89,7 +94,7 @@ def train(texts: list[str], labels: list[int], epochs: int = 60, rate: float = 0
     doc_vec, by_gram = np.empty((len(y), DIM)), np.empty_like(vectors)
     for step in range(1, epochs + 1):
         for d in range(DIM):
-            word_value = np.bincount(gram_word, vectors[d][flat], len(per_word)) / per_word
+            word_value = np.concatenate([np.bincount(owner, vectors[d][flat], b - a) for flat, owner, a, b in blocks]) / per_word
             doc_vec[:, d] = np.bincount(doc_of, word_value[doc_words], len(y)) * share
         logits = doc_vec @ softmax + bias
         p = np.exp(logits - logits.max(axis=1, keepdims=True))
@@ -98,7 +103,9 @@ def train(texts: list[str], labels: list[int], epochs: int = 60, rate: float = 0
         g_doc = g @ softmax.T * share[:, None]
         for d in range(DIM):
             g_word = np.bincount(doc_words, g_doc[:, d][doc_of], len(per_word)) / per_word
-            by_gram[d] = np.bincount(flat, g_word[gram_word], BUCKETS) + decay * vectors[d]
+            by_gram[d] = decay * vectors[d]
+            for flat, owner, a, b in blocks:
+                by_gram[d] += np.bincount(flat, g_word[a:b][owner], BUCKETS)
         for param, grad, (m, v) in zip(params, [by_gram, doc_vec.T @ g, g.sum(axis=0)], moments, strict=True):
             m += 0.1 * (grad - m)
             v += 0.01 * (grad * grad - v)
@@ -165,6 +172,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     labels and ids are not learned from; repeated rows are scored alike. All columns of
     ``docs`` stay; one named like an output is replaced.
     """
+    small_batches(docs.sparkSession)
     usable = F.col(id_col).isNotNull() & (F.lit(True) if held_out is None else ~held_out)
     sample = labelled_sample(docs, labels, id_col, text_col, label_col, usable, {1: rows_toxic, 0: rows_clean})
     model, bias = train([r["_text"] for r in sample], [r["_y"] for r in sample], **training)

@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corvox.llm._shared import small_batches
+
 BINS, DEPTH, ROUNDS, RATE, RIDGE = 32, 3, 40, 0.2, 1.0
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -162,6 +164,7 @@ def filter_urls(pages: DataFrame, rules: list[tuple[str, str]], id_col: str = "p
     URLs and those without ``://`` have empty host and path and fit no rule. Repeated rows
     are judged alike, null ids pass through, other columns are not read.
     """
+    small_batches(pages.sparkSession)
     base = pages.select(F.col(id_col).alias("_id"), F.col(url_col).alias("_url")).withColumn("host", host_of(F.col("_url"))).withColumn("path", path_of(F.col("_url")))
     ruled = base.withColumn("_rule", matched_rule(F.col("host"), F.col("path"), rules))
     known = ruled.where(F.col("_rule").isNotNull()).select("_id", "_url", (F.col("_rule.verdict") == "block").cast("int").alias("_y"))
