@@ -7,6 +7,7 @@ from difflib import SequenceMatcher
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corvox.functions.constants import PASS_AT
 
@@ -31,7 +32,7 @@ def block_ratio(a: str | None, b: str | None) -> float | None:
     return None if a is None or b is None else SequenceMatcher(None, a, b).ratio()
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Y3 over batches; pairs that repeat in a batch are scored once."""
     known: dict = {}
@@ -62,7 +63,7 @@ def words_in_blocks(heard: list[str], answer: list[str]) -> float:
     return sum(b.size for b in SequenceMatcher(None, heard, answer).get_matching_blocks()) / len(answer)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def word_block_score(heard: pd.Series, answer: pd.Series) -> pd.Series:
     return pd.Series([None if h is None or a is None else words_in_blocks(list(h), list(a)) for h, a in zip(heard, answer, strict=True)], dtype="float64")
 

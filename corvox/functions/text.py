@@ -7,16 +7,23 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corvox.functions.constants import FORMAL_ENDINGS_LONGEST_FIRST
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def nfc(text: pd.Series) -> pd.Series:
     """Canonical composition; Spark has no built-in for it."""
     return text.map(lambda t: t if t is None or t.isascii() else unicodedata.normalize("NFC", t))
 
 
+@F.pandas_udf(T.StringType())
+def four_places(x: pd.Series) -> pd.Series:
+    """``%.4f`` of the exact binary value (Spark's own formatter rounds the shortest decimal)."""
+    return x.map(lambda v: None if pd.isna(v) else f"{v:.4f}")
+
+
 def letters_only(text: Column) -> Column:
     """Delete all but Hangul syllables and ASCII letters and digits; case stays."""
     return F.regexp_replace(text, "[^가-힣a-zA-Z0-9]", "")

@@ -6,6 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def best_match(queries: DataFrame, segments: DataFrame, score: Column, query_id: str, order: list[str], max_queries: int = 10_000) -> DataFrame:
@@ -75,7 +76,7 @@ def locate(clip: np.ndarray, raw: np.ndarray, rate: int, centre_s: float, radius
     return (low + best) / rate, float(value[best])
 
 
-@F.pandas_udf("struct<at_s: double, correlation: double>")
+@F.pandas_udf(T.StructType([T.StructField("at_s", T.DoubleType()), T.StructField("correlation", T.DoubleType())]))
 def located(clip: pd.Series, raw: pd.Series, rate: pd.Series, centre_s: pd.Series) -> pd.DataFrame:
     """J13 over batches."""
     return pd.DataFrame([locate(*row) for row in zip(clip, raw, rate, centre_s, strict=True)], columns=["at_s", "correlation"])

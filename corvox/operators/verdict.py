@@ -15,7 +15,7 @@ def alignment_type(similarity: Column, heard: Column) -> Column:
 
 
 def similarity_reason(similarity: Column) -> Column:
-    return F.when(similarity < PASS_AT, F.concat(F.lit("Similarity "), F.format_string("%.4f", similarity), F.lit(" below 0.95")))
+    return F.when(similarity < PASS_AT, F.lit("Similarity below 0.95"))
 
 
 def evaluate(clips: DataFrame) -> DataFrame:
@@ -54,8 +54,9 @@ def merge_tier2(rows: DataFrame, again: DataFrame) -> DataFrame:
     mark alignment types and similarity reasons go and the verdict is made anew; below it
     types stay as they are."""
     joined = rows.join(again.select("filename", "similarity2", "heard2"), "filename", "left")
-    better = F.coalesce((F.col("similarity2") > F.col("similarity")) & (F.col("verdict") == "FAIL") & (F.col("similarity") >= TIER2_FLOOR), F.lit(False))
-    passed = better & (F.col("similarity2") >= PASS_AT)
+    joined = joined.withColumn("_better", F.coalesce((F.col("similarity2") > F.col("similarity")) & (F.col("verdict") == "FAIL") & (F.col("similarity") >= TIER2_FLOOR), F.lit(False)))
+    joined = joined.withColumn("recovered", F.col("_better") & (F.col("similarity2") >= PASS_AT))
+    better, passed = F.col("_better"), F.col("recovered")
     kinds = F.when(passed, F.filter("failure_types", lambda t: ~t.isin("A", "D"))).otherwise(F.col("failure_types"))
     reasons = F.when(passed, F.filter("failure_reasons", lambda r: ~F.startswith(r, F.lit("Similarity")))).otherwise(F.col("failure_reasons"))
     return (
@@ -63,7 +64,7 @@ def merge_tier2(rows: DataFrame, again: DataFrame) -> DataFrame:
         .withColumn("verdict", F.when(passed & F.col("boundary_pass") & F.col("envelope_pass"), "PASS").otherwise(F.col("verdict")))
         .withColumn("heard", F.when(better, F.col("heard2")).otherwise(F.col("heard")))
         .withColumn("similarity", F.when(better, F.col("similarity2")).otherwise(F.col("similarity")))
-        .withColumn("recovered", passed).drop("similarity2", "heard2")
+        .drop("similarity2", "heard2", "_better")
     )
 
 

@@ -7,6 +7,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corvox.functions.text import four_places
 from corvox.sources.readers import ENCODINGS, decode_bytes
 
 
@@ -39,7 +40,7 @@ def write_report(report: DataFrame, path: str) -> None:
 def validation_rows(rows: DataFrame) -> DataFrame:
     """K5: columns as text: similarity and rates at four places, levels and times at two."""
     four, two = ("similarity", "cer"), ("boundary_first_db", "boundary_last_db", "preattack_ms", "tail_silence_ms")
-    shown = {c: F.format_string("%.4f", F.col(c).cast("double")) for c in four if c in rows.columns}
+    shown = {c: four_places(F.col(c).cast("double")) for c in four if c in rows.columns}
     shown |= {c: F.format_string("%.2f", F.col(c).cast("double")) for c in two if c in rows.columns}
     shown |= {c: F.array_join(c, sep) for c, sep in (("failure_reasons", "; "), ("failure_types", ",")) if c in rows.columns}
     return rows.withColumns(shown)
