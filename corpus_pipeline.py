@@ -18,7 +18,6 @@ from corvox.llm.packing import pack
 from corvox.llm.registry import remainder, table
 from corvox.llm.toxicity import toxicity
 
-QUALITY = F.when(F.col("quality") == 1, "clean").when(F.col("quality") == 0, "junk")
 MIXTURE, BUDGET, LEAST, MOST = {"clean": 0.92, "junk": 0.08}, 1.25, 1.0, 4.0
 
 
@@ -41,7 +40,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def mix_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeat until clean and junk tokens stand at the target weights. No rate is
     below one, so this stage loses no document."""
-    return mix(docs, table(spark, sf_dir, "labels"), QUALITY, MIXTURE, budget=BUDGET, low=LEAST, high=MOST)
+    quality = F.when(F.col("quality") == 1, "clean").when(F.col("quality") == 0, "junk")
+    return mix(docs, table(spark, sf_dir, "labels"), quality, MIXTURE, budget=BUDGET, low=LEAST, high=MOST)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -65,12 +65,16 @@ def op4_audio_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audio_digests(table(spark, sf_dir, "documents"))
 
 
-DOMAIN = F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 1, "clean").when(F.col("quality") == 0, "junk")
+def domain() -> Column:
+    """Domain of a row of ``labels``."""
+    return F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 1, "clean").when(F.col("quality") == 0, "junk")
+
+
 MIXTURE = {"clean": 0.88, "junk": 0.07, "toxic": 0.05}
 
 
 def op5_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing_rates(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), DOMAIN, MIXTURE)
+    return mixing_rates(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), domain(), MIXTURE)
 
 
 def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
