@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corvox.functions.constants import FADE_IN_MS, FADE_OUT_MS, FLOOR, JUDGE_DB, PEAK_DB, PREATTACK_LEAST_MS, TAIL_LEAST_MS
@@ -126,13 +126,18 @@ def resampled(samples: Column, n: Column) -> Column:
     return F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), lambda k: F.get(samples, (k * step).cast("int")))).otherwise(F.array().cast("array<double>"))
 
 
-def processed(samples: Column, rate: int, window_db: float, safety_ms: tuple[int, int], envelope_ms: tuple[int, int], fades_ms: tuple[int, int] = (FADE_IN_MS, FADE_OUT_MS), snap_ms: int | None = 10) -> Column:
-    """The post-processing chain: snap the start to a zero crossing, trim to the voice
-    with safety, fade, normalise the peak, pad. D10b: without the snap and other fades."""
+def processed(clips: DataFrame, samples: str, out: str, rate: int, level_at: float, safety_ms: tuple[int, int], envelope_ms: tuple[int, int], fades_ms: tuple[int, int] = (FADE_IN_MS, FADE_OUT_MS), snap_ms: int | None = 10) -> DataFrame:
+    """The post-processing chain as staged columns: snap the start to a zero crossing, trim
+    to the voice with safety, fade, normalise the peak, pad. D10b: without the snap and with
+    other fades. Each stage is its own projection, so that none is computed twice."""
     ms = lambda x: int(rate * x / 1000)
+    a = F.col("_a")
+    staged = clips.withColumn("_a", F.col(samples))
     if snap_ms:
-        start = zero_crossing(samples, 0, ms(snap_ms))
-        samples = F.slice(samples, start + 1, F.size(samples))
-    onset, offset = voice_span(rms_windows(samples, ms(10)), F.size(samples), ms(10), window_db)
-    cut = trimmed(samples, onset, offset, ms(safety_ms[0]), ms(safety_ms[1]))
-    return padded(peak_normalised(fade(cut, ms(fades_ms[0]), ms(fades_ms[1]))), ms(envelope_ms[0]), ms(envelope_ms[1]))
+        staged = staged.withColumn("_at", zero_crossing(a, 0, ms(snap_ms))).withColumn("_a", F.slice("_a", F.col("_at") + 1, F.size("_a"))).drop("_at")
+    staged = staged.withColumn("_w", rms_windows(a, ms(10)))
+    onset, offset = voice_span(F.col("_w"), F.size("_a"), ms(10), level_at)
+    staged = staged.withColumn("_on", onset).withColumn("_off", offset)
+    staged = staged.withColumn("_a", trimmed(a, F.col("_on"), F.col("_off"), ms(safety_ms[0]), ms(safety_ms[1])))
+    staged = staged.withColumn("_a", fade(a, ms(fades_ms[0]), ms(fades_ms[1]))).withColumn("_a", peak_normalised(a))
+    return staged.withColumn(out, padded(a, ms(envelope_ms[0]), ms(envelope_ms[1]))).drop("_a", "_w", "_on", "_off")

@@ -41,12 +41,12 @@ def register(name: str, types: str, sql: str | None = None):
     def add(query: Callable[[SparkSession, str], DataFrame]) -> Callable:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             found = query(spark, sf_dir)
-            return found.select(*((F.round(F.col(c), 6) if t == "double" else F.col(c).cast(t)).alias(c) for c, t in columns))
+            return found.select(*((F.round(F.col(c), 6) + F.lit(0.0) if t == "double" else F.col(c).cast(t)).alias(c) for c, t in columns))
 
         run.__doc__ = query.__doc__
         QUERIES[name] = run
         if sql:
-            cast = ", ".join((f"round(CAST({c} AS DOUBLE), 6)" if t == "double" else f"CAST({c} AS {DUCK[t]})") + f" AS {c}" for c, t in columns)
+            cast = ", ".join((f"round(CAST({c} AS DOUBLE), 6) + 0.0" if t == "double" else f"CAST({c} AS {DUCK[t]})") + f" AS {c}" for c, t in columns)
             head, _, tail = sql.rpartition("FINAL")
             ORACLE[name] = f"{head}{',' if head.strip() and not head.strip().endswith('WITH') else ''} final_rows AS ({tail}) SELECT {cast} FROM final_rows" if head.strip() else f"WITH final_rows AS ({tail or sql}) SELECT {cast} FROM final_rows"
         return query
@@ -623,20 +623,20 @@ def envelope_r6(s, d):
     return clips(s, d).select("vec_id", a.alias("before_ms"), b.alias("after_ms"), ok.alias("passed"))
 
 
-@register("zero_crossing", "vec_id long, at long", f"""WITH {CLIPS}, z AS (SELECT vec_id, i, x >= 0 AS p, lead(x >= 0) OVER (PARTITION BY vec_id ORDER BY i) AS q FROM samples), c AS (SELECT vec_id, i, abs(i - 32) AS dist FROM z WHERE i BETWEEN 22 AND 40 AND p <> q)
-    FINAL SELECT v.vec_id, coalesce(arg_min(i, dist * 100 + i), 32) AS at FROM clips v LEFT JOIN c USING (vec_id) GROUP BY v.vec_id""")
+@register("zero_crossing", "vec_id long, place long", f"""WITH {CLIPS}, z AS (SELECT vec_id, i, x >= 0 AS p, lead(x >= 0) OVER (PARTITION BY vec_id ORDER BY i) AS q FROM samples), c AS (SELECT vec_id, i, abs(i - 32) AS dist FROM z WHERE i BETWEEN 22 AND 40 AND p <> q)
+    FINAL SELECT v.vec_id, coalesce(arg_min(i, dist * 100 + i), 32) AS place FROM clips v LEFT JOIN c USING (vec_id) GROUP BY v.vec_id""")
 def zero_crossing(s, d):
     """D5."""
-    return clips(s, d).select("vec_id", S.zero_crossing(F.col("samples"), 32, 10).alias("at"))
+    return clips(s, d).select("vec_id", S.zero_crossing(F.col("samples"), 32, 10).alias("place"))
 
 
-@register("faded_samples", "vec_id long, i long, x double", f"WITH {CLIPS} FINAL SELECT vec_id, i, x * CASE WHEN i < 10 THEN 0.5 * (1 - cos(pi() * i / 10)) ELSE 1 END * CASE WHEN i >= 59 THEN 0.5 * (1 - cos(pi() * (63 - i) / 5)) ELSE 1 END AS x FROM samples")
+@register("faded_samples", "vec_id long, i long, x double", f"WITH {CLIPS} FINAL SELECT vec_id, i, x * CASE WHEN i < 10 THEN 0.5 * (1 - cos(pi() * i / 10)) ELSE 1 END * CASE WHEN i >= 59 THEN 0.5 * (1 - cos(pi() * (63 - i) / 5)) ELSE 1 END + 0.0 AS x FROM samples")
 def faded_samples(s, d):
     """D6."""
     return clips(s, d).select("vec_id", F.posexplode(S.fade(F.col("samples"), 10, 5)).alias("i", "x"))
 
 
-@register("linear_faded_samples", "vec_id long, i long, x double", f"WITH {CLIPS} FINAL SELECT vec_id, i, x * CASE WHEN i < 10 THEN i / 10.0 ELSE 1 END * CASE WHEN i >= 59 THEN (63 - i) / 5.0 ELSE 1 END AS x FROM samples")
+@register("linear_faded_samples", "vec_id long, i long, x double", f"WITH {CLIPS} FINAL SELECT vec_id, i, x * CASE WHEN i < 10 THEN i / 10.0 ELSE 1 END * CASE WHEN i >= 59 THEN (63 - i) / 5.0 ELSE 1 END + 0.0 AS x FROM samples")
 def linear_faded_samples(s, d):
     """D11."""
     return clips(s, d).select("vec_id", F.posexplode(S.fade(F.col("samples"), 10, 5, linear=True)).alias("i", "x"))
@@ -687,7 +687,7 @@ def resampled(s, d):
 @register("post_processed", "vec_id long, n long, peak double")
 def post_processed(s, d):
     """D10 at a rate of 800, so that a window is the clips' eight samples."""
-    t = clips(s, d).withColumn("p", S.processed(F.col("samples"), 800, -17.0, (3, 8), (40, 73)))
+    t = S.processed(clips(s, d), "samples", "p", 800, -17.0, (3, 8), (40, 73))
     return t.select("vec_id", F.size("p").alias("n"), F.array_max(F.transform("p", F.abs)).alias("peak"))
 
 

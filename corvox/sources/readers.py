@@ -127,8 +127,8 @@ def read_wavs(spark: SparkSession, path: str, mean: bool = False) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("path", run("content").alias("w")).select("path", "w.sr", "w.samples")
 
 
-SEGMENTS = T.StructType.fromDDL("audio_path string, script_id int, file_idx int, seg_idx int, start_s double, end_s double, text string, words array<struct<word:string,start:double,end:double>>")
-TRANSCRIPTIONS = T.StructType.fromDDL("filename string, tier int, prompted_text string, plain_text string")
+SEGMENTS = ("audio_path string, script_id int, file_idx int, seg_idx int, start_s double, end_s double, text string, words array<struct<word:string,start:double,end:double>>")
+TRANSCRIPTIONS = "filename string, tier int, prompted_text string, plain_text string"
 
 
 def read_segments(spark: SparkSession, path: str) -> DataFrame:
