@@ -79,7 +79,7 @@ class Predictor:
         known = self.model.words
         rows = [known[w] if w in known else self.model.backoff(w) for w in new]
         self.at.update(zip(new, range(len(self.rows), len(self.rows) + len(new)), strict=True))
-        self.rows = np.concatenate([self.rows, np.array(rows, np.float32).reshape(len(new), -1)])
+        self.rows = np.concatenate([self.rows, np.array(rows, np.float32).reshape(len(new), self.rows.shape[1])])
 
     def predict(self, texts: list[str | None]) -> Iterator[tuple[str, float]]:
         langs = self.model.langs
