@@ -37,7 +37,7 @@ from corvox.llm.shingles import mix, shingle_sets
 
 U = np.uint64
 COUNT_BITS, CHUNK_BITS, MAP_BITS = 23, 17, 10
-BLOCK = 4096
+BLOCK = 512
 FLUSH = 1 << 20  # prefix shingles held by a task before they are sent
 BROADCAST_IDS = 2_000_000  # document ids (8 bytes each) broadcast at most
 
