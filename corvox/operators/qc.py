@@ -52,7 +52,7 @@ def quality(rows: DataFrame, score: Score = guarded_ratio) -> DataFrame:
 
 def issue_histogram(rows: DataFrame) -> DataFrame:
     """Rows by issue, most first (ties by name)."""
-    return rows.select(F.explode("issues").alias("issue")).groupBy("issue").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "issue")
+    return rows.select(F.explode_outer("issues").alias("issue")).where("issue is not null").groupBy("issue").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "issue")
 
 
 def verdict_counts(rows: DataFrame) -> DataFrame:

@@ -35,7 +35,8 @@ def per_script(rows: DataFrame, by: str) -> DataFrame:
 def failure_types(rows: DataFrame) -> DataFrame:
     """Counts of types A to F, those without a row included; other types are ignored."""
     keys = rows.sparkSession.createDataFrame([(t,) for t in FAILURE_TYPES], "failure_type string")
-    counted = rows.select(F.explode("failure_types").alias("failure_type")).groupBy("failure_type").agg(F.count(F.lit(1)).alias("n"))
+    # explode_outer: explode would have a filter inferred below it that computes the array once more
+    counted = rows.select(F.explode_outer("failure_types").alias("failure_type")).groupBy("failure_type").agg(F.count(F.lit(1)).alias("n"))
     return keys.join(counted, "failure_type", "left").select("failure_type", F.coalesce("n", F.lit(0)).alias("n"))
 
 
