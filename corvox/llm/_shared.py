@@ -3,24 +3,12 @@ intermediate tables and skew-free ranks."""
 
 from __future__ import annotations
 
-import atexit
-import os
-import shutil
 import uuid
-from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
-@lru_cache(maxsize=1)
-def _local_dir() -> str:
-    """Folder of a local master's process, removed when it ends."""
-    path = f"/tmp/checkpoints/corvox-{os.getpid()}"
-    atexit.register(shutil.rmtree, path, ignore_errors=True)
-    return path
-
-
 def shared_dir(spark: SparkSession) -> str:
     """Folder that the driver and all executors see: ``spark.checkpoint.dir`` of the session.
     Only a local master may go without that setting."""
@@ -29,15 +17,17 @@ def shared_dir(spark: SparkSession) -> str:
         return base.rstrip("/")
     if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    return _local_dir()
+    return "/tmp/checkpoints"
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends there, so a lost
-    executor costs a re-read and not a re-run."""
+    executor costs a re-read and not a re-run. The driver removes the table when it ends."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/corvox-{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
     return spark.read.schema(df.schema).parquet(path)
 
 
