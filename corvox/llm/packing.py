@@ -14,6 +14,7 @@ rows in one class included.
 from __future__ import annotations
 
 import os
+import unicodedata
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -38,6 +39,13 @@ def load_tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+def stays_letters(chunk: str) -> bool:
+    """Whether ``chunk`` is letters alone and still is once the tokenizer has normalised it:
+    NFC and lower case turn some letters into a letter and a combining mark, which the
+    tokenizer joins with punctuation that follows."""
+    return chunk.isalpha() and (chunk.isascii() or unicodedata.normalize("NFC", chunk).lower().isalpha())
+
+
 class Encoder(dict):
     """Ids of texts, as little-endian unsigned 32-bit bytes.
 
@@ -57,14 +65,15 @@ class Encoder(dict):
     def learn(self, chunks: set[str]) -> None:
         """Encode chunks that aren't known yet.
 
-        Chunks of letters alone are one word for the tokenizer, so they are encoded in one
-        call; the ids of each end with an id of the vocabulary's word ends.
+        Chunks that stay letters alone are one word for the tokenizer, so they are encoded in
+        one call; the ids of each end with an id of the vocabulary's word ends. A comma or
+        full stop after such a word is a word of its own. All other chunks are encoded whole.
         """
         new: dict[str, None] = {}
         marked: dict[str, tuple[str, str]] = {}
         for chunk in chunks:
             word, mark = chunk[:-1], chunk[-1:]
-            if mark and mark in ",." and word.isalpha():  # letters and marks are split anyway
+            if mark and mark in ",." and stays_letters(word):
                 marked[chunk] = word, mark
                 new[word] = new[mark] = None
             else:
@@ -72,7 +81,7 @@ class Encoder(dict):
         letters, rest = [], []
         for chunk in new:
             if chunk not in self:
-                (letters if chunk.isalpha() else rest).append(chunk)
+                (letters if stays_letters(chunk) else rest).append(chunk)
         found = self.ids(" ".join(letters))
         ends = np.flatnonzero(self.ends[found]) + 1
         if len(ends) == len(letters):

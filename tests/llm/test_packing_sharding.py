@@ -1,4 +1,5 @@
 import random
+import unicodedata
 import zlib
 
 import numpy as np
@@ -103,3 +104,14 @@ def test_reshard_and_rewrite(spark, tmp_path):
     written = spark.read.parquet(str(tmp_path / "out"))
     assert written.count() == sum(r["shard"] in affected for r in found) and {r["shard"] for r in written.select("shard").distinct().collect()} == set(affected)
     assert reshard(docs.limit(0), F.col("old"), 5).count() == 0
+
+
+def test_encoder_letters_that_become_marks():
+    tokenizer, known = load_tokenizer(PATH), Encoder(PATH)
+    words = ["বড়", "जड़", "BELEDİYESİ", "ŞEHRİ", "İstanbul", "שׁ", "Straße", "ΟΔΟΣ", "한국어"]
+    odd = [chr(c) for c in range(0x110000) if chr(c).isalpha() and not unicodedata.normalize("NFC", chr(c)).lower().isalpha()]
+    texts = [f"{w}{m}" for w in [*words, *("a" + c for c in odd)] for m in ["", ",", "."]]
+    for text, found in zip(texts, known.encode(texts), strict=True):
+        assert np.frombuffer(found, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, ascii(text)
+    together = " ".join(texts)
+    assert np.frombuffer(next(Encoder(PATH).encode([together])), "<u4").tolist() == tokenizer.encode(together, add_special_tokens=False).ids
