@@ -551,8 +551,9 @@ def truncation_recount(s, d):
 
 @register("korean_endings", "doc_id long, ending string", "FINAL SELECT doc_id, NULL AS ending FROM documents WHERE NOT regexp_matches(text, '[가-힣]')")
 def korean_endings(s, d):
-    """F10 with the fixed endings; the tables hold no Hangul, so none is found (unit tests cover it)."""
-    return table(s, d, "documents").where(~F.col("text").rlike("[가-힣]")).select("doc_id", X.first_suffix(F.col("text"), FORMAL_ENDINGS_RECOUNT).alias("ending"))
+    """F10 with the fixed endings, a row for every document. The SQL leaves out texts with Hangul
+    and null texts, so it says the same only of tables that hold neither."""
+    return table(s, d, "documents").select("doc_id", X.first_suffix(F.col("text"), FORMAL_ENDINGS_RECOUNT).alias("ending"))
 
 
 # -- gaps, runs, signals ----------------------------------------------------------------

@@ -8,6 +8,7 @@ from corvox.functions import signal as S
 from corvox.functions import text as X
 from corvox.functions.constants import FORMAL_ENDINGS_DETECTOR, FORMAL_ENDINGS_LONGEST_FIRST
 from corvox.functions.similarity import best_of_two, block_ratio, guarded_ratio, missing_suffix, tails_equal, with_edit_similarity, word_membership_score, words_in_blocks
+from corvox.plans.catalog import QUERIES
 
 
 def one(spark, column, **values):
@@ -80,3 +81,10 @@ def test_processed_chain(spark):
     df = S.processed(spark.createDataFrame([(clip,)], "s array<double>"), "s", "p", 1000, -40.0, (3, 12), (40, 73))
     p = df.first()["p"]
     assert len(p) < len(clip) + 113 and p[:40] == [0.0] * 40 and p[-73:] == [0.0] * 73 and abs(max(map(abs, p)) - 10 ** (-1 / 20)) < 1e-9
+
+
+def test_korean_endings_cover_all_documents(spark, tmp_path):
+    texts = ["그것은 것이었습니다", "밥을 먹었습니다", "감사합니다", "No Hangul.", "", None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    found = {r["doc_id"]: r["ending"] for r in QUERIES["korean_endings"](spark, str(tmp_path)).collect()}
+    assert found == {0: "것이었습니다", 1: "었습니다", 2: None, 3: None, 4: None, 5: None}
