@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corvox.llm._shared import small_batches
+from corvox.llm._shared import materialize, small_batches
 
 RATE, UP, DOWN, TAPS = 16_000, 1, 2, 32
 FRAME, HOP, BANDS, WINDOW = 256, 128, 16, 32
@@ -141,36 +141,70 @@ def tensors(mel: np.ndarray, rate: int = RATE) -> tuple[pa.ExtensionArray, list[
     return pa.FixedShapeTensorArray.from_numpy_ndarray(full.reshape(n, WINDOW, BANDS)), spans
 
 
-def describe(mel: np.ndarray, found: list[tuple[float, float]]) -> str:
-    """Short digest of the features: frames, segments, sounding time, mean level a band."""
-    means = ",".join(f"{v:.1f}" for v in mel.mean(axis=0, dtype=np.float64))
-    return f"frames={len(mel)};segments={len(found)};sound={sum(b - a for a, b in found):.3f};mel={means}"
-
-
 def audio_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: its text's bytes stored as sound, read back and described.
+    """One row per row of ``docs``: its text's bytes written as a media column, and digests of
+    the sound and the feature tensors that are read back (both are written tables).
 
-    Null and empty texts are one block of zero bytes. Equal texts get equal values; ties,
-    repeated rows and null ids pass through. Other columns are not read.
+    ``feature`` has the file's frames, segments, sounding time and mean level a band, and its
+    windows with a hash of their tensors and time spans. Null and empty texts are one block
+    of zero bytes. Equal texts get equal values; ties, repeated rows and null ids pass
+    through. Other columns are not read.
     """
     small_batches(docs.sparkSession)
-    source = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    fields = {"n_bytes": pa.int64(), "payload_bytes": pa.int64(), "payload_sha256": pa.string(), "tail_crc32": pa.int64(), "media_bytes": pa.int64(), "media_sha256": pa.string(), "feature": pa.string()}
-    schema = f"_id {source.schema['_id'].dataType.simpleString()}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
+    source = docs.select(F.monotonically_increasing_id().alias("_row"), F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    of_id = source.schema["_id"].dataType.simpleString()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(2).to_pylist()
+            columns = [pa.array([len((t or "").encode()) for t in texts], pa.int64()), pa.array([encode_wav(payload_of(t)) for t in texts], pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], names=["_row", "_id", "n_bytes", "media"])
+
+    media = materialize(source.mapInArrow(store, f"_row long, _id {of_id}, n_bytes long, media binary"), "audio-media")
+
+    def sound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fields = {"payload_bytes": pa.int64(), "payload_sha256": pa.string(), "tail_crc32": pa.int64(), "media_bytes": pa.int64(), "media_sha256": pa.string()}
         for batch in batches:
             rows = []
-            for text in batch.column(1):
-                value = text.as_py()
-                media = encode_wav(payload_of(value))
-                payload, rate = decode_wav(media)
-                mel = log_mel(payload, rate)
-                rows.append((len((value or "").encode()), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-UNIT:]), len(media), hashlib.sha256(media).hexdigest(), describe(mel, segments(mel, rate))))
+            for data in batch.column(3).to_pylist():
+                payload, _ = decode_wav(data)
+                rows.append((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-UNIT:]), len(data), hashlib.sha256(data).hexdigest()))
             columns = list(zip(*rows, strict=True)) or [()] * len(fields)
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(columns, fields.values(), strict=True))], names=["_id", *fields])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *(pa.array(c, t) for c, t in zip(columns, fields.values(), strict=True))], names=["_row", "_id", "n_bytes", *fields])
 
-    return source.mapInArrow(run, schema).withColumnRenamed("_id", id_col)
+    sounds = media.mapInArrow(sound, f"_row long, _id {of_id}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string")
+    features = materialize(audio_features(media, "_row", "media"), "audio-features")
+    described = sounds.join(feature_digests(features, "_row"), "_row")
+    return described.select(F.col("_id").alias(id_col), "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature")
+
+
+def feature_digests(features: DataFrame, id_col: str) -> DataFrame:
+    """id and feature of each file in ``features``, the rows of ``audio_features``; ids must
+    be unique by file. Band sums are whole thousandths of a dB, so that the order of windows
+    doesn't change them."""
+    small_batches(features.sparkSession)
+    source = features.select(F.col(id_col).alias("_id"), "window", "start_s", "end_s", "tensor", F.when(F.col("window") == 0, F.col("segments")).alias("segments"))
+    second = HOP * DOWN / (UP * RATE)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            frames = [round((b - a) / second) for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+            shaped = as_tensor(batch.column(4)).to_numpy_ndarray() if batch.num_rows else []
+            sums = [np.rint(1000 * t[:n].sum(axis=0, dtype=np.float64)).astype(np.int64) for t, n in zip(shaped, frames, strict=True)]
+            crc = [zlib.crc32(struct.pack("<2d", a, b) + t.tobytes()) for a, b, t in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), shaped, strict=True)]
+            found = [(len(s or ()), sum(x["end_s"] - x["start_s"] for x in s or ())) for s in batch.column(5).to_pylist()]
+            columns = [pa.array(frames, pa.int64()), pa.array(crc, pa.int64()), pa.array([n for n, _ in found], pa.int64()), pa.array([float(x) for _, x in found], pa.float64()), *(pa.array([s[k] for s in sums], pa.int64()) for k in range(BANDS))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], names=["_id", "window", "frames", "crc", "segments", "sound", *(f"b{k}" for k in range(BANDS))])
+
+    bands = ", ".join(f"b{k} long" for k in range(BANDS))
+    windows = source.mapInArrow(run, f"_id {source.schema['_id'].dataType.simpleString()}, window int, frames long, crc long, segments long, sound double, {bands}")
+    marks = F.transform(F.array_sort(F.collect_list(F.struct("window", "crc"))), lambda w: w["crc"].cast("string"))
+    files = windows.groupBy("_id").agg(
+        F.sum("frames").alias("frames"), F.sum("segments").alias("segments"), F.max("sound").alias("sound"), F.count(F.lit(1)).alias("windows"),
+        F.crc32(F.array_join(marks, ",").cast("binary")).alias("hash"), *(F.sum(f"b{k}").alias(f"b{k}") for k in range(BANDS)),
+    )
+    means = F.concat_ws(",", *(F.format_string("%.1f", F.col(f"b{k}") / 1000 / F.col("frames")) for k in range(BANDS)))
+    return files.select(F.col("_id").alias(id_col), F.format_string("frames=%d;segments=%d;sound=%.3f;mel=%s;windows=%d;tensors=%08x", "frames", "segments", "sound", means, "windows", "hash").alias("feature"))
 
 
 def audio_features(media: DataFrame, id_col: str, media_col: str) -> DataFrame:
@@ -185,16 +219,16 @@ def audio_features(media: DataFrame, id_col: str, media_col: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         arrow_span = pa.list_(pa.struct([("start_s", pa.float64()), ("end_s", pa.float64())]))
         for batch in batches:
+            parts = []
             for row, data in enumerate(batch.column(1)):
                 payload, rate = decode_wav(data.as_py())
                 mel = log_mel(payload, rate)
                 found = [{"start_s": a, "end_s": b} for a, b in segments(mel, rate)]
                 tensor, spans = tensors(mel, rate)
                 n = len(spans)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array([row] * n, pa.int64())), pa.array(range(n), pa.int32()), pa.array([a for a, _ in spans], pa.float64()), pa.array([b for _, b in spans], pa.float64()), tensor.storage.cast(pa.list_(pa.float32())), pa.array([found] * n, arrow_span)],
-                    names=["_id", "window", "start_s", "end_s", "tensor", "segments"],
-                )
+                parts.append([batch.column(0).take(pa.array([row] * n, pa.int64())), pa.array(range(n), pa.int32()), pa.array([a for a, _ in spans], pa.float64()), pa.array([b for _, b in spans], pa.float64()), tensor.storage.cast(pa.list_(pa.float32())), pa.array([found] * n, arrow_span)])
+            if parts:
+                yield pa.RecordBatch.from_arrays([pa.concat_arrays(column) for column in zip(*parts, strict=True)], names=["_id", "window", "start_s", "end_s", "tensor", "segments"])
 
     return source.mapInArrow(run, schema).withColumnRenamed("_id", id_col)
 

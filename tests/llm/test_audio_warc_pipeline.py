@@ -130,3 +130,26 @@ def test_pipeline_stages(spark, tmp_path):
             assert found.select("component_id").distinct().count() == found.count()
     assert seen[0] >= seen[1] >= seen[2] >= seen[3] <= seen[4] and {"doc_id", "piece", "sequence_id", "offset"} <= set(docs.columns)
     assert json.dumps(seen)
+
+
+def test_digests_come_from_stored_media_and_tensors(spark, tmp_path, monkeypatch):
+    stored = {}
+    monkeypatch.setattr(A, "materialize", lambda df, label: stored.setdefault(label, df.write.parquet(str(tmp_path / label)) or spark.read.parquet(str(tmp_path / label))), raising=False)
+    docs = spark.createDataFrame([(None if k == 3 else 7, t) for k, t in enumerate(TEXTS)], "doc_id long, text string")
+    rows = A.audio_digests(docs).collect()
+    assert len(rows) == len(TEXTS)
+    media = {r["_row"]: bytes(r["media"]) for r in stored["audio-media"].collect()}
+    assert sorted(media.values()) == sorted(A.encode_wav(A.payload_of(t)) for t in TEXTS)
+    windows = stored["audio-features"].collect()
+    second = A.HOP * A.DOWN / (A.UP * A.RATE)
+    for row, data in media.items():
+        mine = sorted((r for r in windows if r["_row"] == row), key=lambda r: r["window"])
+        mel = A.log_mel(A.decode_wav(data)[0])
+        assert [r["window"] for r in mine] == list(range(-(-len(mel) // A.WINDOW))) and round(mine[-1]["end_s"] / second) == len(mel)
+        assert np.array_equal(np.concatenate([np.array(r["tensor"], np.float32).reshape(A.WINDOW, A.BANDS) for r in mine])[: len(mel)], mel)
+    for r in rows:
+        mel = A.log_mel(next(A.decode_wav(m)[0] for m in media.values() if hashlib.sha256(m).hexdigest() == r["media_sha256"]))
+        found = dict(x.split("=") for x in r["feature"].split(";"))
+        assert (int(found["frames"]), int(found["segments"]), int(found["windows"])) == (len(mel), len(A.segments(mel)), -(-len(mel) // A.WINDOW))
+        assert np.allclose([float(x) for x in found["mel"].split(",")], mel.mean(axis=0, dtype=np.float64), atol=0.0502)
+        assert len(found["tensors"]) == 8
