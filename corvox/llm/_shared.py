@@ -20,14 +20,24 @@ def shared_dir(spark: SparkSession) -> str:
     return "/tmp/checkpoints"
 
 
+def shared_path(spark: SparkSession, label: str) -> str:
+    """A new path in the shared folder."""
+    return f"{shared_dir(spark)}/corvox-{label}-{uuid.uuid4().hex}"
+
+
+def remove_at_end(spark: SparkSession, path: str) -> None:
+    """The driver removes what is written at ``path`` when it ends."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends there, so a lost
     executor costs a re-read and not a re-run. The driver removes the table when it ends."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/corvox-{label}-{uuid.uuid4().hex}"
+    path = shared_path(spark, label)
     df.write.parquet(path)
-    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
+    remove_at_end(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -12,7 +12,7 @@ from corvox.llm.langid import identify
 from corvox.llm.mixing import mixing_rates
 from corvox.llm.ngram_join import ngram_components
 from corvox.llm.packing import pack
-from corvox.llm.sharding import reshard
+from corvox.llm.sharding import rewritten
 from corvox.llm.toxicity import toxicity
 from corvox.llm.url_filter import filter_urls
 from corvox.llm.warc import resolve_revisits
@@ -56,8 +56,9 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_flow_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """From 32 shards by a hash of the id to 40 shards of equal row counts."""
-    placed = reshard(table(spark, sf_dir, "documents"), remainder("doc_id", 32), 40)
+    """From 32 shards by a hash of the id to 40 shards of equal row counts; affected shards are
+    written, and their rows read back from the files."""
+    placed = rewritten(table(spark, sf_dir, "documents"), remainder("doc_id", 32), 40)
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "old_shard")
 
 

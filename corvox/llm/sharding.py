@@ -16,7 +16,7 @@ from collections import defaultdict
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corvox.llm._shared import distributed_rank, materialize
+from corvox.llm._shared import distributed_rank, materialize, remove_at_end, shared_path
 
 CLASSES_PER_OCTAVE = 8
 MAX_SHARDS = 4096
@@ -159,10 +159,34 @@ def rewrite_affected(docs: DataFrame, placed: DataFrame, path: str, id_col: str
     moved = placed.where("old_shard <> shard")
     affected = sorted(r[0] for r in moved.select("old_shard").union(moved.select("shard")).distinct().collect() if r[0] >= 0)
     text = F.coalesce(F.col(text_col), F.lit(""))
-    occurrence = lambda *by: F.row_number().over(Window.partitionBy(*by).orderBy(F.lit(1)))
-    left = docs.withColumn("_crc", F.crc32(text.cast("binary"))).withColumn("_nth", occurrence(id_col, "_crc"))
-    right = placed.where(F.col("shard").isin(affected)).select(F.col(id_col).alias("_pid"), F.col("text_crc32").alias("_pcrc"), "shard", "slot").withColumn("_pnth", occurrence("_pid", "_pcrc"))
-    on = left[id_col].eqNullSafe(right["_pid"]) & (F.col("_crc") == F.col("_pcrc")) & (F.col("_nth") == F.col("_pnth"))
-    rows = left.join(right, on).drop("_crc", "_nth", "_pid", "_pcrc", "_pnth").withColumn("_file", F.floor(F.col("slot") / rows_per_file))
+    # ids in a struct, in which nulls are equal: join and numbering then share one shuffle of the texts
+    left = docs.withColumns({"_key": F.struct(id_col), "_crc": F.crc32(text.cast("binary"))})
+    right = placed.where(F.col("shard").isin(affected)).groupBy(F.struct(id_col).alias("_pkey"), F.col("text_crc32").alias("_pcrc")).agg(F.array_sort(F.collect_list(F.struct("shard", "slot"))).alias("_places"))
+    joined = left.join(right, (F.col("_key") == F.col("_pkey")) & (F.col("_crc") == F.col("_pcrc")))
+    nth = F.row_number().over(Window.partitionBy("_key", "_crc").orderBy(F.lit(1)))
+    found = joined.withColumn("_place", F.get("_places", nth - 1)).where("_place is not null")
+    rows = found.select(*docs.columns, "_place.shard", "_place.slot").withColumn("_file", F.floor(F.col("slot") / rows_per_file))
     rows.repartition("shard", "_file").sortWithinPartitions("shard", "slot").drop("_file").write.partitionBy("shard").parquet(path)
     return affected
+
+
+def rewritten(docs: DataFrame, old: Column, shards: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """As ``reshard``, with the affected shards written to the shared folder: their rows' id,
+    size, text_crc32, old_shard, shard and slot are read back from the files. ``old`` is an
+    expression on the columns of ``docs``. Rows of other shards, whose files stay as they
+    are, come from the plan."""
+    spark = docs.sparkSession
+    names = [id_col, "size", "text_crc32", "old_shard", "shard", "slot"]
+    placed = materialize(reshard(docs, old, shards, id_col, text_col), "shard-slots").select(*names)
+    path = shared_path(spark, "shard-files")
+    affected = rewrite_affected(docs, placed, path, id_col, text_col)
+    remove_at_end(spark, path)
+    if not affected:
+        return placed
+    files = spark.read.schema(docs.withColumns({"slot": F.lit(0).cast("long"), "shard": F.lit(0)}).schema).parquet(path)
+    text, known = F.coalesce(F.col(text_col), F.lit("")), F.coalesce(old.cast("int"), F.lit(-1))
+    read = files.select(
+        id_col, (F.octet_length(text) + 16).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
+        F.when((known < 0) | (known >= MAX_SHARDS), -1).otherwise(known).alias("old_shard"), "shard", "slot",
+    )
+    return read.unionByName(placed.where(~F.col("shard").isin(affected)))

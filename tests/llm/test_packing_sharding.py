@@ -7,6 +7,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
+from corvox.llm import registry, sharding
 from corvox.llm.packing import Encoder, load_tokenizer, pack, sweeps
 from corvox.llm.sharding import MAX_SHARDS, cheapest_transfers, reshard, rewrite_affected, row_capacities
 
@@ -115,3 +116,20 @@ def test_encoder_letters_that_become_marks():
         assert np.frombuffer(found, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, ascii(text)
     together = " ".join(texts)
     assert np.frombuffer(next(Encoder(PATH).encode([together])), "<u4").tolist() == tokenizer.encode(together, add_special_tokens=False).ids
+
+
+def test_resharding_query_reads_written_shards(spark, tmp_path, monkeypatch):
+    docs = [(k, None if k % 7 == 0 else "é" * (k % 50), "en") for k in range(300)] + [(5, "é" * 5, "en")]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
+    written = []
+    monkeypatch.setattr(sharding, "rewrite_affected", lambda d, p, path, *a: (written.append(path), rewrite_affected(d, p, path, *a))[1])
+    rows = registry.op3_flow_resharding(spark, str(tmp_path)).collect()
+    assert sorted((r["doc_id"], r["size"], r["text_crc32"]) for r in rows) == sorted((k, len((t or "").encode()) + 16, zlib.crc32((t or "").encode())) for k, t, _ in docs)
+    affected = {s for r in rows if r["old_shard"] != r["shard"] for s in (r["old_shard"], r["shard"])}
+    files = spark.read.parquet(*written).select("doc_id", "shard", "slot").collect()
+    assert affected and sorted(map(tuple, files)) == sorted((r["doc_id"], r["shard"], r["slot"]) for r in rows if r["shard"] in affected)
+    slots = {}
+    for r in rows:
+        assert r["old_shard"] == zlib.crc32(str(r["doc_id"]).encode()) % 32
+        slots.setdefault(r["shard"], []).append(r["slot"])
+    assert set(slots) == set(range(40)) and all(sorted(s) == list(range(len(s))) for s in slots.values())
