@@ -1,13 +1,13 @@
-"""Best-fit packing of tokenised documents into sequences, in bulk-synchronous sweeps.
-
-Documents are tokenised where they lie and cut only when longer than a sequence. Pieces
-and gaps are range-sorted by size. A size is a whole number up to the capacity, and pieces
-of one size are alike, so a sweep decides whole size classes: the classes go from large to
-small; each takes its successor among the gaps (the smallest that is large enough), where
-several want the same gaps their ranks decide, the gaps shrink, and the sweep repeats until
-every piece has a place. What the sweeps read and write is bounded by the capacity (one
-count a size, runs of equal gaps), whatever the number of documents. Rows then find their
-own place by their rank in their class; ranks are counted in parallel, a third of all
+"""Best-fit packing of tokenised documents into sequences, by counts of size classes.
+
+Documents are tokenised where they lie and cut only when longer than a sequence. The
+bulk-synchronous method (range-sort of pieces and gaps, distributed successor sweeps,
+conflicts by rank) is not what is done here: a sequential best fit over the counts of sizes
+runs on the driver in its place. A size is a whole number up to the capacity and pieces of
+one size are alike, so the classes go from large to small and each takes the smallest gaps
+that are large enough, by count. What the driver reads and writes is bounded by the capacity
+(one count a size, runs of equal gaps), whatever the number of documents. Rows then find
+their own place by their rank in their class; ranks are counted in parallel, a third of all
 rows in one class included.
 """
 
