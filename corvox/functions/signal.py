@@ -11,7 +11,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corvox.functions.constants import FADE_IN_MS, FADE_OUT_MS, FLOOR, JUDGE_DB, PEAK_DB, PREATTACK_LEAST_MS, TAIL_LEAST_MS
+from corvox.functions.constants import FADE_IN_MS, FADE_OUT_MS, FLOOR, JUDGE_DB, MIN_GAP_MS, ONSET_SAFETY_MS, PAD_MS, PEAK_DB, PREATTACK_LEAST_MS, PREATTACK_MS, TAIL_LEAST_MS, TAIL_MS
 
 
 def _mean_square(samples: Column) -> Column:
@@ -126,18 +126,34 @@ def resampled(samples: Column, n: Column) -> Column:
     return F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), lambda k: F.get(samples, (k * step).cast("int")))).otherwise(F.array().cast("array<double>"))
 
 
-def processed(clips: DataFrame, samples: str, out: str, rate: int, level_at: float, safety_ms: tuple[int, int], envelope_ms: tuple[int, int], fades_ms: tuple[int, int] = (FADE_IN_MS, FADE_OUT_MS), snap_ms: int | None = 10) -> DataFrame:
+def processed(clips: DataFrame, samples: str, out: str, rate: int, level_at: float, safety_ms: tuple[int, int], envelope_ms: tuple[int, int], fades_ms: tuple[int, int] = (FADE_IN_MS, FADE_OUT_MS), snap_ms: int | None = 10, end_level: str | None = None) -> DataFrame:
     """The post-processing chain as staged columns: snap the start to a zero crossing, trim
-    to the voice with safety, fade, normalise the peak, pad. D10b: without the snap and with
-    other fades. Each stage is its own projection, so that none is computed twice."""
+    to the voice with safety, fade, normalise the peak, pad. D10b: ``sliced_variant``. ``end_level``:
+    a column for the level (dB) of the slice's last window before it is trimmed. Each stage is its own projection, so that none is computed twice."""
     ms = lambda x: int(rate * x / 1000)
     a = F.col("_a")
     staged = clips.withColumn("_a", F.col(samples))
     if snap_ms:
         staged = staged.withColumn("_at", zero_crossing(a, 0, ms(snap_ms))).withColumn("_a", F.slice("_a", F.col("_at") + 1, F.size("_a"))).drop("_at")
     staged = staged.withColumn("_w", rms_windows(a, ms(10)))
+    if end_level:
+        staged = staged.withColumn(end_level, F.coalesce(F.element_at("_w", -1), F.lit(-100.0)))
     onset, offset = voice_span(F.col("_w"), F.size("_a"), ms(10), level_at)
     staged = staged.withColumn("_on", onset).withColumn("_off", offset)
     staged = staged.withColumn("_a", trimmed(a, F.col("_on"), F.col("_off"), ms(safety_ms[0]), ms(safety_ms[1])))
     staged = staged.withColumn("_a", fade(a, ms(fades_ms[0]), ms(fades_ms[1]))).withColumn("_a", peak_normalised(a))
     return staged.withColumn(out, padded(a, ms(envelope_ms[0]), ms(envelope_ms[1]))).drop("_a", "_w", "_on", "_off")
+
+
+def sliced_variant(clips: DataFrame, samples: str, start_ms: Column, end_ms: Column, next_ms: Column, out: str, rate: int, level_at: float, offset_safety_ms: int = 0, envelope_ms: tuple[int, int] = (PREATTACK_MS, TAIL_MS), right_pad: Column | None = None) -> DataFrame:
+    """Slice a recording at a segment, padded by 50 ms (at the end only where the next segment
+    is 30 ms or more away, or by ``right_pad``), then D10 with like fades at both ends and no
+    snap. ``end_db`` is the level where the slice ends, and ``mid_speech`` whether it is over the
+    level of silence, so that nothing can be trimmed there."""
+    gap = F.coalesce(next_ms - end_ms, F.lit(9999))
+    after = F.when(gap >= MIN_GAP_MS, F.lit(PAD_MS)).otherwise(F.lit(0)) if right_pad is None else right_pad
+    first = F.greatest(F.lit(0), (rate * (start_ms - PAD_MS) / 1000).cast("int"))
+    last = F.least(F.size(samples), (rate * (end_ms + after) / 1000).cast("int"))
+    cut = clips.withColumn("_cut", F.slice(samples, first + 1, F.greatest(F.lit(0), last - first)))
+    chain = processed(cut, "_cut", out, rate, level_at, (ONSET_SAFETY_MS, offset_safety_ms), envelope_ms, (FADE_IN_MS, FADE_IN_MS), None, "end_db")
+    return chain.withColumn("mid_speech", F.col("end_db") > level_at).drop("_cut")

@@ -22,6 +22,26 @@ def with_edit_similarity(df: DataFrame, truth: str, heard: str, prefix: str = ""
     return measured.withColumn(prefix + "cer", error_rate(F.col(prefix + "dist"), F.col(prefix + "max_len"))).withColumn(prefix + "similarity", 1 - F.col(prefix + "cer"))
 
 
+def with_edit_score(df: DataFrame, truth: str, heard: str, least: str) -> DataFrame:
+    """Y2 as ``score``, null where it is below the column ``least``: a distance beyond what that
+    allows isn't computed to its end."""
+    longest = F.greatest(F.length(truth), F.length(heard))
+    most = F.greatest(F.lit(0), F.ceil((1 - F.col(least)) * longest + 1e-6)).cast("int")
+    dist = F.call_function("levenshtein", F.col(truth), F.col(heard), most)
+    measured = df.withColumns({"_longest": longest, "_dist": dist})
+    return measured.withColumn("score", F.when(F.col("_dist") >= 0, 1 - error_rate(F.col("_dist"), F.col("_longest")))).drop("_longest", "_dist")
+
+
+def edit_ceiling(a: Column, b: Column) -> Column:
+    """The highest Y2 of two texts of these lengths."""
+    return F.when((a == 0) & (b == 0), F.lit(1.0)).otherwise(F.least(a, b) / F.greatest(a, b))
+
+
+def ratio_ceiling(a: Column, b: Column) -> Column:
+    """The highest Y3 of two texts of these lengths."""
+    return F.when((a == 0) & (b == 0), F.lit(1.0)).otherwise(2 * F.least(a, b) / (a + b))
+
+
 def error_rate(dist: Column, max_len: Column) -> Column:
     return F.when(max_len == 0, F.lit(0.0)).otherwise(dist / max_len)
 

@@ -1,8 +1,8 @@
-"""Whole runs: alignment, evaluation and integrity from input tables to outputs."""
+"""Whole runs: alignment, evaluation and integrity from input tables to outputs."""
 
 from __future__ import annotations
 
-from dataclasses import asdict
+from dataclasses import asdict, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,7 +11,7 @@ from corvox.functions.text import clip_name
 from corvox.operators import report as R
 from corvox.operators.align import AlignConfig, align
 from corvox.operators.integrity import integrity_stats, presence, quarantine
-from corvox.operators.matching import dedupe
+from corvox.operators.matching import all_keys, append_new, dedupe, script_audio
 from corvox.operators.timing import covered_lines
 from corvox.operators.verdict import evaluate, merge_tier2
 from corvox.sources import writers as K
@@ -50,17 +50,20 @@ def aligned_manifest(aligned: DataFrame, lines: DataFrame) -> DataFrame:
     return dedupe(matched.select(clip_name(F.col("script_id"), F.col("line_no")).alias("filename"), F.col("line_text").alias("text")))
 
 
-def run_alignment(segments: DataFrame, lines: DataFrame, files: DataFrame, base: str, config: AlignConfig = AlignConfig(), done: DataFrame | None = None) -> str:
-    """Align the scripts that aren't ``done`` and write aligned rows, manifest,
-    skip log, rollup and parameters to a new versioned folder, which is returned."""
+def run_alignment(segments: DataFrame, lines: DataFrame, files: DataFrame, base: str, config: AlignConfig = AlignConfig(), done: DataFrame | None = None, resume: DataFrame | None = None) -> str:
+    """Align the scripts that aren't ``done`` and write aligned rows,
+    manifest, skip log, rollup, parameters and a checkpoint to a new versioned folder, which is
+    returned. ``resume``: the checkpoint (script_id, file_idx, line_no) of a run that ended
+    within scripts; recordings up to it aren't aligned again."""
     spark = segments.sparkSession
     path = K.versioned_dir(spark, base)
     todo = files if done is None else not_done(files, done, ["script_id"])
-    align(segments.join(todo.select("script_id").distinct(), "script_id", "left_semi"), lines, todo, config).write.parquet(f"{path}/aligned")
+    align(segments.join(todo.select("script_id").distinct(), "script_id", "left_semi"), lines, todo, replace(config, checkpoints=True), resume).write.parquet(f"{path}/aligned")
     aligned = spark.read.parquet(f"{path}/aligned")
     K.write_manifest(aligned_manifest(aligned, lines), f"{path}/manifest")
     K.append_skips(aligned.where("kind = 'skip'").select("script_id", "line_no", "reason", "text"), f"{path}/skipped")
-    K.write_report(R.alignment_rollup(aligned, "script_id"), f"{path}/rollup")
+    K.write_report(R.alignment_rollup(aligned.where("kind <> 'checkpoint'"), "script_id"), f"{path}/rollup")
+    K.append_checkpoint(aligned.where("kind = 'checkpoint'").select("script_id", "file_idx", "line_no"), f"{path}/checkpoint")
     K.write_report(spark.createDataFrame([{k: str(v) for k, v in asdict(config).items()}]), f"{path}/parameters")
     return path
 
@@ -89,3 +92,34 @@ def validate(manifest: DataFrame, files: DataFrame, path: str | None = None) ->
     if path:
         K.write_quarantine(quarantine(found), f"{path}/places")
     return integrity_stats(found, "script")
+
+
+def run_manager(segments: DataFrame, lines: DataFrame, files: DataFrame, manifest: DataFrame, wavs: DataFrame, base: str, scripts: list[int] | None = None, start_line: int = 1, validate_only: bool = False, collect_orphans: bool = False) -> str:
+    """The six steps of the older manager: discover, take recognised segments, align (J2) and add
+    to the manifest, validate, collect orphans, report. Returns the new versioned folder.
+
+    ``manifest`` (filename, text) and ``wavs`` (filename) are what there is; clips of this run count
+    as written. With ``validate_only`` or ``collect_orphans`` nothing is aligned, and with the first
+    alone orphans stay where they are. Missed lines are written only where orphans were found.
+    """
+    spark = segments.sparkSession
+    path, aligned = K.versioned_dir(spark, base, "manager"), None
+    if not (validate_only or collect_orphans):
+        chosen = script_audio(select_recordings(files, scripts), lines)
+        K.write_report(chosen.groupBy("script_id", "status").agg(F.count(F.lit(1)).alias("recordings")), f"{path}/discovered")
+        todo = chosen.where("status = 'OK'").drop("status")
+        align(segments, lines, todo, replace(AlignConfig.manager(), start_line=start_line)).write.parquet(f"{path}/aligned")
+        aligned = spark.read.parquet(f"{path}/aligned")
+        R.manager_rollup(aligned, lines, todo).write.parquet(f"{path}/rollup")
+        new = aligned_manifest(aligned, lines)
+        manifest, wavs = append_new(manifest.select("filename", "text"), new), all_keys(wavs, new, "filename")
+    K.write_manifest(manifest.select("filename", "text"), f"{path}/manifest")
+    found = presence(manifest, wavs, ["filename"]).withColumn("script", F.regexp_extract("filename", r"Script_(\d+)_", 1))
+    found.write.parquet(f"{path}/validation")
+    found = spark.read.parquet(f"{path}/validation")
+    if not validate_only and found.where("status = 'ORPHAN'").limit(1).count():
+        K.write_quarantine(quarantine(found), f"{path}/places")
+        if aligned is not None:
+            K.write_missed(R.missed_lines(aligned), f"{path}/missed")
+    K.write_report(integrity_stats(found, "script"), f"{path}/report")
+    return path

@@ -25,29 +25,33 @@ def end_bleed(heard: Column, after: Column, score: Score = guarded_ratio, n: int
 
 
 def truncated_start(heard: Column, expected: Column, score: Score = guarded_ratio, at: float = 0.5) -> Column:
-    """W3, on word lists: the first three expected words aren't among the first five heard."""
-    return (F.size(expected) >= 3) & (score(head_words(expected, 3), head_words(heard, 5)) < at)
+    """W3, on word lists: the first three expected words aren't among the first five heard. False
+    without a heard word."""
+    return (F.size(expected) >= 3) & (F.size(heard) > 0) & (score(head_words(expected, 3), head_words(heard, 5)) < at)
 
 
 def truncated_end(heard: Column, expected: Column, score: Score = guarded_ratio, at: float = 0.5) -> Column:
-    """W4, on word lists: the last three expected against the last five heard, all heard if under three."""
+    """W4, on word lists: the last three expected against the last five heard, all heard if under
+    three. False without a heard word."""
     spoken = F.when(F.size(heard) < 3, F.array_join(heard, " ")).otherwise(tail_words(heard, 5))
-    return (F.size(expected) >= 3) & (score(tail_words(expected, 3), spoken) < at)
+    return (F.size(expected) >= 3) & (F.size(heard) > 0) & (score(tail_words(expected, 3), spoken) < at)
 
 
-def quality(rows: DataFrame, score: Score = guarded_ratio) -> DataFrame:
-    """Issues and verdict of rows with heard, expected, prev_text, next_text (all through N4), and
-    ``status`` (OK, FILE_MISSING, TRANSCRIPTION_ERROR), similarity. An empty text has no other issue."""
-    spoken, told = word_list(F.col("heard")), word_list(F.col("expected"))
-    empty = F.col("heard") == ""
+def quality(rows: DataFrame, score: Score = guarded_ratio, words: Callable[[Column], Column] = word_list) -> DataFrame:
+    """Issues and verdict of rows with heard, expected, prev_text, next_text (all through N4),
+    ``raw_heard`` (as transcribed; without it ``heard`` stands for it), ``status`` (OK, FILE_MISSING,
+    TRANSCRIPTION_ERROR; null: not checked yet) and similarity. A transcription of blanks alone
+    is EMPTY_TRANSCRIPTION and has no other issue; one of punctuation alone is judged."""
+    spoken, told = words(F.col("heard")), words(F.col("expected"))
+    empty = F.trim(F.coalesce("raw_heard" if "raw_heard" in rows.columns else "heard", F.lit(""))) == ""
     found = F.array_compact(F.array(
         F.when(start_bleed(F.col("heard"), F.col("prev_text"), score), "START_BLEED"), F.when(end_bleed(F.col("heard"), F.col("next_text"), score), "END_BLEED"),
         F.when(truncated_start(spoken, told, score), "TRUNCATED_START"), F.when(truncated_end(spoken, told, score), "TRUNCATED_END"),
         F.when(F.col("similarity") < 0.70, "LOW_SIMILARITY"),
     ))
-    issues = F.when(F.col("status") != "OK", F.array("status")).when(empty, F.array(F.lit("EMPTY"))).otherwise(found)
+    issues = F.when(F.col("status").isNull(), F.array().cast("array<string>")).when(F.col("status") != "OK", F.array("status")).when(empty, F.array(F.lit("EMPTY_TRANSCRIPTION"))).otherwise(found)
     checked = rows.withColumn("issues", issues)
-    return checked.withColumn("verdict", F.when(F.col("status") != "OK", "UNKNOWN").when(F.size("issues") == 0, "GOOD").otherwise("PROBLEMATIC"))
+    return checked.withColumn("verdict", F.when(F.col("status").isNull(), "UNKNOWN").when(F.size("issues") == 0, "GOOD").otherwise("PROBLEMATIC"))
 
 
 def issue_histogram(rows: DataFrame) -> DataFrame:
@@ -60,11 +64,13 @@ def verdict_counts(rows: DataFrame) -> DataFrame:
     return rows.agg(F.count_if(F.col("verdict") == "GOOD").alias("good"), F.count_if(F.col("verdict") != "GOOD").alias("problems"))
 
 
-def truncation(rows: DataFrame, patterns: list[str] | None = None, least: int = 6) -> DataFrame:
+def truncation(rows: DataFrame, patterns: list[str] | None = None, least: int = 6, max_items: int | None = None, order: str = "filename") -> DataFrame:
     """Rows (filename, truth, heard; normalised; heard null: no file or no text, by ``status``)
-    whose truth ends in a listed pattern, with ending_pattern, status and missing_chars."""
+    whose truth ends in a listed pattern, with ending_pattern, status and missing_chars.
+    ``max_items`` (O7): only the first of these rows in ``order``."""
     listed = FORMAL_ENDINGS_DETECTOR if patterns is None else patterns
     found = rows.withColumn("ending_pattern", first_suffix(F.col("truth"), listed)).where((F.length("truth") >= least) & F.col("ending_pattern").isNotNull())
+    found = found if max_items is None else found.orderBy(order).limit(max_items)
     heard = F.coalesce("heard", F.lit(""))
     state = (
         F.when(F.col("status").isin("FILE_NOT_FOUND", "TRANSCRIBE_ERROR"), F.col("status"))

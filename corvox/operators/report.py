@@ -61,6 +61,16 @@ def alignment_rollup(rows: DataFrame, by: str) -> DataFrame:
     return rows.rollup(by).agg(matched.alias("matched"), (total - matched).alias("skipped"), _pct(matched, total).alias("rate"))
 
 
+def manager_rollup(rows: DataFrame, lines: DataFrame, files: DataFrame) -> DataFrame:
+    """G8 as the manager has it: matched lines over all lines of a script, its skip rows and recordings."""
+    of = lambda k: F.count_if(F.col("kind") == k)
+    found = rows.groupBy("script_id").agg(of("match").alias("matched"), of("skip").alias("skipped"))
+    total = lines.groupBy("script_id").agg(F.count(F.lit(1)).alias("total_lines"))
+    audio = files.groupBy("script_id").agg(F.count(F.lit(1)).alias("audio_files"))
+    joined = audio.join(total, "script_id").join(found, "script_id", "left").na.fill(0, ["matched", "skipped"])
+    return joined.withColumn("rate", F.round(100.0 * F.col("matched") / F.col("total_lines"), 1))
+
+
 def score_stats(rows: DataFrame, score: str) -> DataFrame:
     """Mean, median, least, largest and population deviation; G11: four bands."""
     c = F.col(score)

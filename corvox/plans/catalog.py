@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from corvox.functions import signal as S
 from corvox.functions import text as X
-from corvox.functions.constants import FORMAL_ENDINGS_RECOUNT
-from corvox.functions.similarity import best_of_two, error_rate, guarded_ratio, ratio, with_edit_similarity, word_block_score, word_membership_score
+from corvox.functions.constants import FORMAL_ENDINGS_DETECTOR, FORMAL_ENDINGS_LONGEST_FIRST, FORMAL_ENDINGS_RECOUNT
+from corvox.functions.similarity import best_of_two, edit_ceiling, error_rate, guarded_ratio, ratio, ratio_ceiling, with_edit_score, with_edit_similarity, word_block_score, word_membership_score
 from corvox.operators import align as A
 from corvox.operators import integrity as I
 from corvox.operators import matching as M
@@ -24,7 +24,7 @@ from corvox.operators import report as R
 from corvox.operators import timing as W
 from corvox.operators import verdict as V
 from corvox.plans import fixtures as X0
-from corvox.plans.fixtures import CLIPS, EVALUATED, LINES, PAIRS, RECORDINGS, SCORED, SERIES, TURNS, clips, evaluated, lines, pairs, recordings, scored, series, table, turns
+from corvox.plans.fixtures import CLIPS, EVALUATED, EXACT, LINES, PAIRS, RECORDINGS, SCORED, SERIES, TURNS, clips, evaluated, lines, pairs, recordings, scored, series, table, turns
 from corvox.sources.readers import answer_lines, not_done
 from corvox.sources.writers import qc_rows, validation_rows
 from corvox.streaming import streams
@@ -487,6 +487,54 @@ def truncation_words(s, d):
     return t.select("conv_id", "turn", Q.truncated_start(F.col("h"), F.col("e")).alias("cut_start"), Q.truncated_end(F.col("h"), F.col("e")).alias("cut_end"))
 
 
+def edit_score(a, b):
+    """Y2 of two texts as they are."""
+    return 1 - error_rate(F.levenshtein(a, b), F.greatest(F.length(a), F.length(b)))
+
+
+WORDED = CONTEXT + f""", w0 AS (SELECT *, {ASCII8.format('heard')} AS hh, {ASCII8.format('expected')} AS ee, {ASCII8.format('prev_text')} AS pp, {ASCII8.format('next_text')} AS xx, (conv_id + turn) % 41 = 0 AS gone FROM ctx),
+    w1 AS (SELECT *, list_filter(string_split(hh, ' '), lambda w: w <> '') AS h, list_filter(string_split(ee, ' '), lambda w: w <> '') AS e FROM w0),
+    w2 AS (SELECT *, array_to_string(e[1:3], ' ') AS e3, array_to_string(h[1:5], ' ') AS h5, array_to_string(e[greatest(len(e) - 2, 1):], ' ') AS t3, array_to_string(h[greatest(len(h) - 4, 1):], ' ') AS t5 FROM w1),
+    w3 AS (SELECT *, len(e) >= 3 AND len(h) > 0 AND 1 - levenshtein(e3, h5)::DOUBLE / greatest(length(e3), length(h5), 1) < 0.5 AS cut_start, len(e) >= 3 AND len(h) > 0 AND 1 - levenshtein(t3, t5)::DOUBLE / greatest(length(t3), length(t5), 1) < 0.5 AS cut_end,
+        length(hh) >= 8 AND length(pp) >= 8 AND 1 - levenshtein(left(hh, 8), right(pp, 8)) / 8.0 >= 0.75 AS start_bleed, length(hh) >= 8 AND length(xx) >= 8 AND 1 - levenshtein(right(hh, 8), left(xx, 8)) / 8.0 >= 0.75 AS end_bleed,
+        CASE WHEN hh = '' AND ee = '' THEN 1 WHEN hh = '' OR ee = '' THEN 0 ELSE 1 - levenshtein(hh, ee)::DOUBLE / greatest(length(hh), length(ee)) END AS similarity FROM w2),
+    w4 AS (SELECT *, 'Script_' || conv_id || '_' || lpad(turn::VARCHAR, greatest(4, length(turn::VARCHAR))::INTEGER, '0') || '.wav' AS filename, CASE WHEN gone THEN ['FILE_MISSING'] WHEN trim(heard) = '' THEN ['EMPTY_TRANSCRIPTION'] ELSE
+        list_filter([CASE WHEN start_bleed THEN 'START_BLEED' END, CASE WHEN end_bleed THEN 'END_BLEED' END, CASE WHEN cut_start THEN 'TRUNCATED_START' END, CASE WHEN cut_end THEN 'TRUNCATED_END' END, CASE WHEN similarity < 0.70 THEN 'LOW_SIMILARITY' END], lambda x: x IS NOT NULL) END AS issues FROM w3)"""
+
+
+def ascii_context(s, d):
+    plain = lambda c: F.regexp_replace(c, "[^a-zA-Z0-9 ]", "-")
+    t = with_context(s, d)
+    return X0.spread(t).withColumn("raw_heard", F.col("heard")).withColumns({c: plain(c) for c in ("heard", "expected", "prev_text", "next_text")})
+
+
+@register("truncation_words_cer", "conv_id long, turn long, cut_start boolean, cut_end boolean", f"WITH {WORDED} FINAL SELECT conv_id, turn, cut_start, cut_end FROM w3")
+def truncation_words_cer(s, d):
+    """W3, W4 scored by edit distance on ASCII."""
+    split = lambda c: F.filter(F.split(F.col(c), " "), lambda w: w != "")
+    t = ascii_context(s, d).withColumns({"h": split("heard"), "e": split("expected")})
+    return t.select("conv_id", "turn", Q.truncated_start(F.col("h"), F.col("e"), edit_score).alias("cut_start"), Q.truncated_end(F.col("h"), F.col("e"), edit_score).alias("cut_end"))
+
+
+def checked_cer(s, d):
+    split = lambda c: F.filter(F.split(c, " "), lambda w: w != "")
+    t = ascii_context(s, d)
+    similar = F.when((F.col("heard") == "") & (F.col("expected") == ""), 1.0).when((F.col("heard") == "") | (F.col("expected") == ""), 0.0).otherwise(edit_score(F.col("heard"), F.col("expected")))
+    return Q.quality(t.withColumn("similarity", similar), edit_score, split).withColumn("filename", F.format_string("Script_%d_%04d.wav", "conv_id", "turn"))
+
+
+@register("qc_rows_cer", "filename string, script_id string, line_number string, issues string, verdict string", f"WITH {WORDED} FINAL SELECT filename, conv_id::VARCHAR AS script_id, lpad(turn::VARCHAR, greatest(4, length(turn::VARCHAR))::INTEGER, '0') AS line_number, array_to_string(issues, '|') AS issues, CASE WHEN len(issues) = 0 THEN 'GOOD' ELSE 'PROBLEMATIC' END AS verdict FROM w4")
+def qc_rows_cer(s, d):
+    """C3, K6, P3 scored by edit distance on ASCII."""
+    return qc_rows(checked_cer(s, d))
+
+
+@register("qc_issue_histogram_cer", "issue string, n long", f"WITH {WORDED} FINAL SELECT issue, count(*) AS n FROM (SELECT unnest(issues) AS issue FROM w4) GROUP BY issue")
+def qc_issue_histogram_cer(s, d):
+    """G9, O6."""
+    return Q.issue_histogram(checked_cer(s, d))
+
+
 def checked(s, d):
     t = X0.spread(with_context(s, d)).withColumn("similarity", guarded_ratio(F.col("heard"), F.col("expected")))
     return Q.quality(t).withColumn("filename", F.format_string("Script_%d_%04d.wav", "conv_id", "turn"))
@@ -549,11 +597,42 @@ def truncation_recount(s, d):
     return Q.recount(t, ENDINGS)
 
 
-@register("korean_endings", "doc_id long, ending string", "FINAL SELECT doc_id, NULL AS ending FROM documents WHERE NOT regexp_matches(text, '[가-힣]')")
+SPOKEN_ENDINGS = [*FORMAL_ENDINGS_LONGEST_FIRST, "입니다", "했어요", ""]
+LISTED = "[" + ", ".join(f"'{e}'" for e in SPOKEN_ENDINGS) + "]"
+KOREAN = f"k0 AS (SELECT doc_id, coalesce(text, '') || ' 안녕 ' || substr('가각한글 ㄱㅏ', 1 + doc_id % 5, 3) || {LISTED}[1 + doc_id % {len(SPOKEN_ENDINGS)}] AS text FROM documents)"
+
+
+def korean(s, d):
+    """Every document with Korean at its end: syllables, single letters and each listed ending in turn, among them
+    two that are no formal ending and none at all."""
+    pick = F.get(F.array(*map(F.lit, SPOKEN_ENDINGS)), (F.col("doc_id") % len(SPOKEN_ENDINGS)).cast("int"))
+    middle = F.substring(F.lit("가각한글 ㄱㅏ"), (1 + F.col("doc_id") % 5).cast("int"), F.lit(3))
+    return table(s, d, "documents").select("doc_id", F.concat(F.coalesce("text", F.lit("")), F.lit(" 안녕 "), middle, pick).alias("text"))
+
+
+def first_ending(endings):
+    """SQL for the first of ``endings`` that ``text`` ends with."""
+    return "list_filter([" + ", ".join(f"'{e}'" for e in endings) + "], lambda e: ends_with(text, e))[1]"
+
+
+@register("korean_endings", "doc_id long, longest string, detected string, counted string", f"WITH {KOREAN} FINAL SELECT doc_id, {first_ending(FORMAL_ENDINGS_LONGEST_FIRST)} AS longest, {first_ending(FORMAL_ENDINGS_DETECTOR)} AS detected, {first_ending(FORMAL_ENDINGS_RECOUNT)} AS counted FROM k0")
 def korean_endings(s, d):
-    """F10 with the fixed endings, a row for every document. The SQL leaves out texts with Hangul
-    and null texts, so it says the same only of tables that hold neither."""
-    return table(s, d, "documents").select("doc_id", X.first_suffix(F.col("text"), FORMAL_ENDINGS_RECOUNT).alias("ending"))
+    """F10 with the fixed endings in their three orders, on Korean texts."""
+    t = F.col("text")
+    return korean(s, d).select("doc_id", X.first_suffix(t).alias("longest"), X.first_suffix(t, FORMAL_ENDINGS_DETECTOR).alias("detected"), X.first_suffix(t, FORMAL_ENDINGS_RECOUNT).alias("counted"))
+
+
+@register(
+    "korean_normalize", "doc_id long, n1 string, n2 string, n3 string, n4 string, n1_apart string",
+    rf"""WITH {KOREAN}, n AS (SELECT doc_id, text, replace(replace(text, '한', chr(4370) || chr(4449) || chr(4523)), '니', chr(4354) || chr(4469)) AS apart FROM k0)
+    FINAL SELECT doc_id, regexp_replace(text, '[^가-힣a-zA-Z0-9]', '', 'g') AS n1, lower(regexp_replace(nfc_normalize(apart), '[^가-힣a-zA-Z0-9]', '', 'g')) AS n2, regexp_replace(nfc_normalize(apart), '[^가-힣a-zA-Z0-9]', '', 'g') AS n3,
+    trim(regexp_replace(regexp_replace(text, '[^\p{{L}}\p{{N}}_\s가-힣ㄱ-ㅎㅏ-ㅣ]', '', 'g'), '\s+', ' ', 'g')) AS n4, regexp_replace(apart, '[^가-힣a-zA-Z0-9]', '', 'g') AS n1_apart FROM n""",
+)
+def korean_normalize(s, d):
+    """N1-N4 on Korean, whole and taken apart into conjoining letters: N1 loses those, N2 and N3 compose them first."""
+    apart = F.replace(F.replace(F.col("text"), F.lit("한"), F.lit("\u1112\u1161\u11ab")), F.lit("니"), F.lit("\u1102\u1175"))
+    t = korean(s, d).withColumn("apart", apart)
+    return X0.spread(t).select("doc_id", X.letters_only(F.col("text")).alias("n1"), X.eval_text(F.col("apart")).alias("n2"), X.detector_text(F.col("apart")).alias("n3"), X.spoken_text(F.col("text")).alias("n4"), X.letters_only(F.col("apart")).alias("n1_apart"))
 
 
 # -- gaps, runs, signals ----------------------------------------------------------------
@@ -815,6 +894,51 @@ def align_line_major(s, d):
     return A.align_by_line(X0.heard_segments(s, d), t, recordings(s, d))
 
 
+SPANS = "script_id long, kind string, file_idx long, seg_idx long, merged long, line_no long, score double, reason string, start_ms long, end_ms long"
+MATCHED = """SELECT script_id, 'match' AS kind, file_idx, line_no AS seg_idx, 1 AS merged, line_no, ratio - 0.01 * {jumped} AS score, NULL AS reason, {start} AS start_ms, {end} AS end_ms FROM x5 {where}"""
+SKIPPED = " UNION ALL SELECT script_id, 'skip', (SELECT min(file_idx) FROM x3 WHERE x3.script_id = m.script_id AND x3.line_no > m.line_no), NULL, NULL, line_no, NULL, 'SKIPPED', NULL, NULL FROM missed m WHERE line_no < top"
+
+
+@register(
+    "align_exact", SPANS, f"WITH {EXACT.replace('{pad}', '650')} FINAL " + MATCHED.format(jumped="jumped", start="greatest(0, a - left_pad)", end="least(2500 * n + 2000, b + right_pad)", where="") + SKIPPED
+    + " UNION ALL SELECT script_id, 'skip', NULL, NULL, NULL, line_no, NULL, 'EOF_UNMATCHED', NULL, NULL FROM missed WHERE line_no > top AND line_no <= CASE WHEN n > half THEN last ELSE half END",
+)
+def align_exact(s, d):
+    """J1 with spans (W8, W6, W7) where the alignment is certain: matches, skips and the tail."""
+    return A.align(*X0.exact_scripts(s, d))
+
+
+@register("align_exact_manager", SPANS, f"WITH {EXACT.replace('{pad}', '650')} FINAL " + MATCHED.format(jumped="jumped", start="greatest(0, seg_a - 50)", end="least(2500 * n + 2000, b + 50)", where="") + SKIPPED)
+def align_exact_manager(s, d):
+    """J2 with flat padding (W7b), no tail rows."""
+    return A.align(*X0.exact_scripts(s, d), A.AlignConfig.manager())
+
+
+@register(
+    "align_exact_experiment", SPANS, f"""WITH {EXACT.replace('{pad}', '500')}, j AS (SELECT * REPLACE (line_no - coalesce(lag(line_no) OVER (PARTITION BY script_id, file_idx ORDER BY line_no) + 1, CASE WHEN file_idx = 0 THEN 1 ELSE half + 1 END) AS jumped) FROM x5), k AS (SELECT * FROM j WHERE line_no - jumped <= CASE WHEN file_idx = 0 THEN half ELSE last END) FINAL """
+    + MATCHED.format(jumped="jumped", start="greatest(0, a - left_pad)", end="least(2500 * n + 2000, b + right_pad)", where="").replace("FROM x5", "FROM k"),
+)
+def align_exact_experiment(s, d):
+    """Recordings for themselves, up to their last line; matches only."""
+    return A.align(*X0.exact_scripts(s, d), A.AlignConfig.experiment())
+
+
+@register("align_exact_rollup", "script_id long, matched long, skipped long, rate double", f"""WITH {EXACT.replace('{pad}', '650')}, r AS (SELECT script_id, 1 AS hit FROM x3 UNION ALL SELECT script_id, 0 FROM missed WHERE line_no < top OR line_no <= CASE WHEN n > half THEN last ELSE half END)
+    FINAL SELECT script_id, sum(hit) AS matched, count(*) - sum(hit) AS skipped, round(100.0::DOUBLE * sum(hit) / count(*), 2) AS rate FROM r GROUP BY ROLLUP (script_id)""")
+def align_exact_rollup(s, d):
+    """G8 over J1."""
+    return R.alignment_rollup(A.align(*X0.exact_scripts(s, d)), "script_id")
+
+
+@register("align_exact_resumed", "script_id long, kind string, line_no long, reason string", f"""WITH {EXACT.replace('{pad}', '650')} FINAL SELECT script_id, 'match' AS kind, line_no, NULL AS reason FROM x3 WHERE file_idx = 1 UNION ALL
+    SELECT script_id, 'skip', line_no, CASE WHEN line_no < top THEN 'SKIPPED' ELSE 'EOF_UNMATCHED' END FROM missed m WHERE line_no > coalesce((SELECT max(line_no) FROM x3 WHERE x3.script_id = m.script_id AND x3.file_idx = 0), 0) AND line_no <= CASE WHEN line_no < top THEN n WHEN n > half THEN last ELSE half END""")
+def align_exact_resumed(s, d):
+    """What a run does that goes on after the first recording of every script."""
+    segments, t, files = X0.exact_scripts(s, d)
+    first = A.align(segments, t, files.where("file_idx = 0"), A.AlignConfig(checkpoints=True)).where("kind = 'checkpoint'")
+    return A.align(segments, t, files, resume=first)
+
+
 MATCHES = LINES + ", m AS (SELECT doc_id AS script_id, line_no, CASE WHEN (doc_id + line_no) % 4 = 0 THEN 'skip' ELSE 'match' END AS kind, CASE WHEN line_no % 2 = 0 THEN 'SKIPPED' ELSE 'NO_MATCH' END AS reason, source AS audio_file FROM lines)"
 
 
@@ -849,30 +973,39 @@ def refine_words(s, d):
     return X0.spread(t).select("conv_id", "turn", A.refined_span("words", "text").alias("r")).select("conv_id", "turn", "r.start", F.col("r.end").alias("finish"))
 
 
-RECOVER = r"""WITH k AS (SELECT conv_id, turn, lower(regexp_replace(text, '[^a-zA-Z0-9]', '', 'g')) AS norm, text FROM conversations),
-    j AS (SELECT a.conv_id, a.turn, b.turn AS line_no, 1 - levenshtein(a.norm, b.norm)::DOUBLE / greatest(length(a.norm), length(b.norm), 1) + CASE WHEN b.turn = a.turn + 1 THEN 0.05 ELSE 0 END AS score
-    FROM k a JOIN k b ON a.conv_id = b.conv_id AND abs(b.turn - (a.turn + 1)) <= 10 AND length(b.norm) >= 2)"""
+RECOVER = r"""WITH k AS (SELECT conv_id, turn, lower(regexp_replace(text, '[^a-zA-Z0-9]', '', 'g')) AS norm FROM conversations),
+    q AS (SELECT conv_id, turn, CASE WHEN (conv_id + turn) % 19 = 0 THEN left(norm, 1) WHEN (conv_id + turn) % 23 = 0 THEN repeat('#q', 60) WHEN (conv_id + turn) % 5 = 0 THEN regexp_replace(norm, '(.{6}).', '\1', 'g') ELSE norm END AS h0 FROM k),
+    h AS (SELECT conv_id, turn, regexp_replace(h0, '[^a-zA-Z0-9]', '', 'g') AS heard FROM q),
+    j AS (SELECT a.conv_id, a.turn, b.turn AS line_no, 1 - levenshtein(a.heard, b.norm)::DOUBLE / greatest(length(a.heard), length(b.norm), 1) + CASE WHEN b.turn = a.turn + 1 THEN 0.05 ELSE 0 END AS score
+    FROM h a JOIN k b ON a.conv_id = b.conv_id AND abs(b.turn - (a.turn + 1)) <= 10 AND length(b.norm) >= 2 AND length(a.heard) >= 2),
+    r AS (SELECT *, row_number() OVER (PARTITION BY conv_id, turn ORDER BY round(score, 9) DESC, line_no) AS k FROM j WHERE score >= 0.2)"""
+
+
+def missed_clips(s, d):
+    """Turns that look for their text one turn on: some heard in part, some not at all, some as noise."""
+    t = table(s, d, "conversations").select("conv_id", "turn", F.lower(F.regexp_replace("text", "[^a-zA-Z0-9]", "")).alias("text"))
+    n = F.col("conv_id") + F.col("turn")
+    heard = F.when(n % 19 == 0, F.left("text", F.lit(1))).when(n % 23 == 0, F.repeat(F.lit("#q"), F.lit(60))).when(n % 5 == 0, F.regexp_replace("text", "(.{6}).", "$1")).otherwise(F.col("text"))
+    asked = t.select(F.col("conv_id").alias("script_id"), F.col("turn").cast("string").alias("filename"), (F.col("turn") + 1).alias("expected"), heard.alias("heard"))
+    return asked, t.select(F.col("conv_id").alias("script_id"), F.col("turn").alias("line_no"), "text")
 
 
-@register("recovery_match_cer", "conv_id long, turn long, line_no long, score double", RECOVER + ", r AS (SELECT *, row_number() OVER (PARTITION BY conv_id, turn ORDER BY round(score, 9) DESC, line_no) AS k FROM j WHERE score >= 0.2) FINAL SELECT conv_id, turn, line_no, score FROM r WHERE k = 1")
+@register(
+    "recovery_match_cer", "conv_id long, turn long, line_no long, score double, outcome string",
+    RECOVER + """ FINAL SELECT h.conv_id, h.turn, line_no, score, CASE WHEN NOT EXISTS (FROM k WHERE k.conv_id = h.conv_id) THEN 'NO_SCRIPT' WHEN length(heard) < 2 THEN 'TOO_SHORT' WHEN line_no IS NULL THEN 'NO_MATCH' ELSE 'MATCH' END AS outcome FROM h LEFT JOIN (SELECT * FROM r WHERE k = 1) x ON x.conv_id = h.conv_id AND x.turn = h.turn""",
+)
 def recovery_match_cer(s, d):
-    """J4, Y6, scored by edit distance: each turn looks for its text one turn on, within ten."""
-    t = table(s, d, "conversations").select("conv_id", "turn", F.lower(X.letters_only(F.regexp_replace("text", "[^a-zA-Z0-9]", ""))).alias("text"))
-    asked = t.select(F.col("conv_id").alias("script_id"), F.col("turn").cast("string").alias("filename"), (F.col("turn") + 1).alias("expected"), F.col("text").alias("heard"))
-    offered = t.select(F.col("conv_id").alias("script_id"), F.col("turn").alias("line_no"), "text")
-    scored_by = lambda rows: with_edit_similarity(rows, "line_norm", "heard_norm").withColumn("score", F.round("similarity", 9))
-    found = A.recover(asked, offered, scored_by)
-    return found.select(F.col("script_id").alias("conv_id"), F.col("filename").alias("turn"), "line_no", "score")
+    """J4, Y6, scored by edit distance."""
+    rated = lambda rows: with_edit_score(rows, "line_norm", "heard_norm", "least").withColumn("score", F.round("score", 9))
+    found = A.recover(*missed_clips(s, d), rated, edit_ceiling)
+    return found.select(F.col("script_id").alias("conv_id"), F.col("filename").alias("turn"), "line_no", "score", "outcome")
 
 
-@register("recovery_match_ratio", "conv_id long, turn long, line_no long, score double")
+@register("recovery_match_ratio", "conv_id long, turn long, line_no long, score double, outcome string")
 def recovery_match_ratio(s, d):
     """J4 with the block ratio."""
-    t = table(s, d, "conversations")
-    asked = t.select(F.col("conv_id").alias("script_id"), F.col("turn").cast("string").alias("filename"), (F.col("turn") + 1).alias("expected"), F.col("text").alias("heard"))
-    offered = t.select(F.col("conv_id").alias("script_id"), F.col("turn").alias("line_no"), "text")
-    found = A.recover(asked, offered, lambda rows: rows.withColumn("score", ratio("heard_norm", "line_norm")))
-    return found.select(F.col("script_id").alias("conv_id"), F.col("filename").alias("turn"), "line_no", "score")
+    found = A.recover(*missed_clips(s, d), lambda rows: rows.withColumn("score", ratio("heard_norm", "line_norm")), ratio_ceiling)
+    return found.select(F.col("script_id").alias("conv_id"), F.col("filename").alias("turn"), "line_no", "score", "outcome")
 
 
 @register("best_match_exhaustive", "item_id long, doc_id long, line_no long, score double", f"""WITH {LINES}, q AS (SELECT item_id, list_distinct(string_split(lower(text), ' ')) AS w FROM benchmark), t AS (SELECT doc_id, line_no, list_distinct(string_split(lower(text), ' ')) AS v FROM lines),

@@ -146,3 +146,45 @@ def heard_segments(spark: SparkSession, d: str) -> DataFrame:
     parts = F.when(F.length("heard") > 60, F.array(F.substring("heard", F.lit(1), half), F.substring("heard", half + 1, F.length("heard")))).otherwise(F.array("heard"))
     each = inside.select("script_id", "file_idx", "line_no", F.posexplode(parts).alias("k", "text"))
     return each.select("script_id", "file_idx", (2 * F.col("line_no") + F.col("k")).cast("int").alias("seg_idx"), "text")
+
+
+def exact_scripts(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(segments, lines, files) on which an alignment is certain: a line is a digest that resembles
+    no other, every fifth with a formal ending; every seventh line isn't spoken, nor the last of
+    every third script. Two recordings a script, of which the second has a name that claims too
+    few lines. Every third spoken line begins with a foreign word."""
+    base = lines(spark, d).select(F.col("doc_id").cast("int").alias("script_id"), F.col("line_no").cast("int").alias("line_no"))
+    base = base.withColumn("n", F.max("line_no").over(Window.partitionBy("script_id")))
+    n, k = F.col("n"), F.col("line_no")
+    half = F.floor((n + 1) / 2).cast("int")
+    digest = F.md5(F.concat_ws(":", "script_id", "line_no"))
+    ending = F.when(k % 5 == 0, "습니다").otherwise("")
+    script = base.select("script_id", "line_no", "n", digest.alias("digest"), ending.alias("ending"), F.concat(digest, ending).alias("text"))
+    at = lambda quarters: (10 * k + F.element_at(F.array(*map(F.lit, (0, 1, 2, 3))), (k % 4 + 1).cast("int")) + quarters) / 4
+    word = lambda text, a, b: F.struct(text.alias("word"), at(a).alias("start"), at(b).alias("end"))
+    pair = [word(F.substring("digest", 1, 16), 2, 4), word(F.concat(F.substring("digest", 17, 16), F.col("ending")), 4, 7)]
+    words = F.when(k % 3 == 0, F.array(word(F.lit("xq"), 0, 2), *pair)).otherwise(F.array(*pair))
+    spoken = script.where((k % 7 != 0) & ~((F.col("script_id") % 3 == 0) & (k == n)))
+    segments = spoken.select(
+        "script_id", F.when(k <= half, 0).otherwise(1).alias("file_idx"), k.alias("seg_idx"), F.concat(F.when(k % 3 == 0, "xq ").otherwise(""), "text").alias("text"),
+        F.when(k % 3 == 0, at(0)).otherwise(at(2)).alias("start"), at(7).alias("end"), words.alias("words"),
+    )
+    tops = script.select("script_id", "n").distinct()
+    files = tops.select("script_id", F.lit(0).alias("file_idx"), F.lit(1).alias("start_line"), half.alias("end_line"), (2500 * n + 2000).cast("long").alias("length_ms"))
+    later = tops.where(n > half).select("script_id", F.lit(1), half + 1, F.greatest(half + 1, n - 1), (2500 * n + 2000).cast("long"))
+    return segments, script.select("script_id", "line_no", "text"), files.union(later)
+
+
+EXACT = LINES + """,
+x0 AS (SELECT doc_id AS script_id, line_no, max(line_no) OVER (PARTITION BY doc_id) AS n FROM lines),
+x1 AS (SELECT *, (n + 1) // 2 AS half, line_no % 7 <> 0 AND NOT (script_id % 3 = 0 AND line_no = n) AS spoken, line_no % 5 = 0 AS formal, line_no % 3 = 0 AS led,
+    250 * (10 * line_no + line_no % 4) AS t0 FROM x0),
+x2 AS (SELECT *, CASE WHEN line_no <= half THEN 0 ELSE 1 END AS file_idx, greatest(half + 1, n - 1) AS last FROM x1),
+x3 AS (SELECT *, t0 + 500 AS a, t0 + 1750 AS b, CASE WHEN led THEN t0 ELSE t0 + 500 END AS seg_a FROM x2 WHERE spoken),
+x4 AS (SELECT *, a - lag(b) OVER w AS left_gap, lead(seg_a) OVER w - b AS right_gap, line_no - 1 - coalesce(lag(line_no) OVER (PARTITION BY script_id ORDER BY line_no), 0) AS jumped,
+    32 + CASE WHEN formal THEN 3 ELSE 0 END AS chars FROM x3 WINDOW w AS (PARTITION BY script_id, file_idx ORDER BY line_no)),
+x5 AS (SELECT *, CASE WHEN left_gap IS NULL OR left_gap >= 30 THEN 50 ELSE 0 END AS left_pad,
+    CASE WHEN right_gap IS NULL THEN 400 WHEN formal THEN formal_pad WHEN right_gap < 30 THEN 0 ELSE least(400, greatest(0, right_gap - 20)) END AS right_pad,
+    CASE WHEN led THEN 2.0 * chars / (2 * chars + 2) ELSE 1.0 END AS ratio FROM x4, (SELECT {pad} AS formal_pad)),
+heard AS (SELECT script_id, max(line_no) AS top FROM x3 GROUP BY script_id),
+missed AS (SELECT x2.*, coalesce(top, 0) AS top FROM x2 LEFT JOIN heard USING (script_id) WHERE NOT spoken)"""

@@ -8,7 +8,7 @@ import wave
 import numpy as np
 import pandas as pd
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,8 +52,9 @@ def script_lines(scripts: DataFrame, key: str, text: str, start_line: int = 1) -
 
 def read_scripts(spark: SparkSession, path: str, encodings: list[str] = ENCODINGS, start_line: int = 1) -> DataFrame:
     """S1, S1b-S1d: lines of script files: path, encoding, line_no, text."""
-    files = spark.read.format("binaryFile").load(path).select("path", decoded(F.col("content"), encodings).alias("d")).select("path", "d.text", "d.encoding")
-    return script_lines(files, "path", "text", start_line).join(files.select("path", "encoding"), "path")
+    files = spark.read.format("binaryFile").load(path).select("path", decoded(F.col("content"), encodings).alias("d"))
+    files = files.select(F.struct("path", "d.encoding").alias("file"), F.col("d.text").alias("text"))
+    return script_lines(files, "file", "text", start_line).select("file.path", "line_no", "text", "file.encoding")
 
 
 def read_answer_key(spark: SparkSession, path: str) -> DataFrame:
@@ -110,8 +111,18 @@ def wav_samples(data: bytes, mean: bool) -> tuple[np.ndarray, int]:
     return (x.mean(axis=1) if mean else x[:, 0]), rate
 
 
-def read_wavs(spark: SparkSession, path: str, mean: bool = False) -> DataFrame:
-    """Path, sr, samples of WAV files; unreadable files have nulls (failure type E)."""
+def band_limited(x: np.ndarray, rate: int, target: int) -> np.ndarray:
+    """32-bit samples at another rate, by the signal's spectrum (all of a clip at once)."""
+    if rate == target or not len(x):
+        return x.astype(np.float32)
+    n = max(1, round(len(x) * target / rate))
+    spectrum = np.fft.rfft(x)[: n // 2 + 1]
+    return (np.fft.irfft(spectrum, n) * (n / len(x))).astype(np.float32)
+
+
+def read_wavs(spark: SparkSession, path: str, mean: bool = False, target: int | None = None) -> DataFrame:
+    """Path, sr, samples of WAV files; unreadable files have nulls (failure type E).
+    ``target``: the rate to resample to, such as a recogniser's 16,000."""
 
     @F.pandas_udf("struct<sr: int, samples: array<double>>")
     def run(data: pd.Series) -> pd.DataFrame:
@@ -119,7 +130,7 @@ def read_wavs(spark: SparkSession, path: str, mean: bool = False) -> DataFrame:
         for d in data:
             try:
                 x, rate = wav_samples(d, mean)
-                rows.append((rate, x))
+                rows.append((rate, x) if target is None else (target, band_limited(x, rate, target).astype(np.float64)))
             except (wave.Error, EOFError, ValueError):
                 rows.append((None, None))
         return pd.DataFrame({"sr": pd.array([r for r, _ in rows], "Int32"), "samples": [x for _, x in rows]})
@@ -151,21 +162,25 @@ def read_checkpoint(spark: SparkSession, path: str, schema: T.StructType) -> Dat
 
 
 def sniff_encoding(spark: SparkSession, path: str) -> DataFrame:
-    """Path, first 100 bytes in hex, and for each encoding whether the file decodes."""
+    """Path, first 100 bytes in hex, the encodings that decode the file, and ``guess``: the one
+    that a byte order mark tells, else the first that fits, else binary."""
 
     @F.pandas_udf("array<string>")
     def fits(data: pd.Series) -> pd.Series:
         return data.map(lambda d: [e for e in ENCODINGS if decode_bytes(d, [e])[1]])
 
     files = spark.read.format("binaryFile").load(path)
-    return files.select("path", F.hex(F.substring("content", 1, 100)).alias("head"), fits("content").alias("fits"), F.is_valid_utf8(F.col("content").cast("string")).alias("utf8"))
+    return files.select("path", F.hex(F.substring("content", 1, 100)).alias("head"), fits("content").alias("fits"), F.is_valid_utf8(F.col("content").cast("string")).alias("utf8")).withColumn("guess", guessed(F.col("head"), F.col("fits")))
+
+
+def guessed(head: Column, fits: Column) -> Column:
+    """Encoding by byte order mark, else by trial."""
+    return (
+        F.when(F.startswith(head, F.lit("EFBBBF")), "utf-8-sig").when(F.startswith(head, F.lit("FFFE")), "utf-16-le").when(F.startswith(head, F.lit("FEFF")), "utf-16-be")
+        .otherwise(F.coalesce(F.get(F.array_remove(fits, "utf-8-sig"), 0), F.lit("binary")))
+    )
 
 
 def not_done(rows: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
     """Rows whose key isn't in the output yet."""
     return rows.join(done.select(*keys).distinct(), keys, "left_anti")
-
-
-def with_position(rows: DataFrame, order: list[str], out: str = "pos") -> DataFrame:
-    """Position from 1 over all rows of a small table."""
-    return rows.withColumn(out, F.row_number().over(Window.orderBy(*order)))

@@ -2,22 +2,40 @@
 
 from __future__ import annotations
 
+import io
+import os
 import re
+import time
+import uuid
+import wave
 
+import numpy as np
+import pandas as pd
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corvox.functions.text import four_places
 from corvox.sources.readers import ENCODINGS, decode_bytes
 
 
 def versioned_dir(spark: SparkSession, base: str, tag: str = "run") -> str:
-    """K1: ``base/tag_vN`` with the first N that isn't there."""
+    """K1: ``base/tag_vN`` with the first N after those there are. A marker file, which one
+    writer alone can create, claims it."""
     jvm = spark.sparkContext._jvm
     root = jvm.org.apache.hadoop.fs.Path(base)
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     taken = [int(m[1]) for s in (fs.listStatus(root) if fs.exists(root) else []) if (m := re.fullmatch(rf"{re.escape(tag)}_v(\d+)", s.getPath().getName()))]
-    return f"{base}/{tag}_v{max(taken, default=0) + 1}"
+    n = max(taken, default=0) + 1
+    while True:
+        try:
+            fs.create(jvm.org.apache.hadoop.fs.Path(f"{base}/{tag}_v{n}/_CLAIMED"), False).close()
+            return f"{base}/{tag}_v{n}"
+        except Py4JJavaError:
+            if not fs.exists(jvm.org.apache.hadoop.fs.Path(f"{base}/{tag}_v{n}/_CLAIMED")):
+                raise
+            n += 1
 
 
 def write_manifest(manifest: DataFrame, path: str) -> None:
@@ -73,25 +91,74 @@ def write_missed(missed: DataFrame, path: str) -> None:
     missed.repartition("script_id").sortWithinPartitions("script_id", "line_no").write.mode("overwrite").partitionBy("script_id").option("header", True).csv(path, sep="|")
 
 
-def write_wav_files(clips: DataFrame, write_one) -> None:
-    """Hand each (filename, sr, samples) to ``write_one`` on the executors, three tries each."""
+def replace_file(place: str, data: bytes, tries: int = 3) -> None:
+    """Write ``data`` beside ``place`` and move it there, so that a repeated or lost task never
+    leaves half a file."""
+    for left in range(tries - 1, -1, -1):
+        try:
+            beside = f"{place}.{uuid.uuid4().hex}.tmp"
+            with open(beside, "wb") as f:
+                f.write(data)
+            os.replace(beside, place)
+            return
+        except OSError:
+            if not left:
+                raise
+            time.sleep(0.1)
+
+
+def pcm24(samples) -> bytes:
+    """24-bit little-endian PCM of samples in -1..1."""
+    whole = np.clip(np.rint(np.asarray(samples, np.float64) * (1 << 23)), -(1 << 23), (1 << 23) - 1).astype("<i4")
+    return whole.view(np.uint8).reshape(-1, 4)[:, :3].tobytes()
+
+
+def wav_bytes(samples, rate: int) -> bytes:
+    """A mono 24-bit WAV file."""
+    out = io.BytesIO()
+    with wave.open(out, "wb") as f:
+        f.setnchannels(1)
+        f.setsampwidth(3)
+        f.setframerate(int(rate))
+        f.writeframes(pcm24(samples))
+    return out.getvalue()
+
+
+@F.pandas_udf(T.BinaryType())
+def wav_files(samples: pd.Series, rate: pd.Series) -> pd.Series:
+    """WAV bytes as a column, for stores that executors don't mount."""
+    return pd.Series([None if x is None else wav_bytes(x, r) for x, r in zip(samples, rate, strict=True)])
+
+
+def write_wav_files(clips: DataFrame, folder: str) -> None:
+    """Each (filename, sr, samples) as a WAV file in ``folder``, which every executor must
+    see at that path; an existing file is replaced, with three tries."""
 
     def run(rows) -> None:
+        os.makedirs(folder, exist_ok=True)
         for row in rows:
-            for left in (2, 1, 0):
-                try:
-                    write_one(row["filename"], row["sr"], row["samples"])
-                    break
-                except OSError:
-                    if not left:
-                        raise
+            replace_file(os.path.join(folder, row["filename"]), wav_bytes(row["samples"], row["sr"]))
 
-    clips.select("filename", "sr", "samples").foreachPartition(run)
+    clips.select("filename", "sr", "samples").where("samples is not null").foreachPartition(run)
 
 
-def pcm24(samples: list[float]) -> bytes:
-    """24-bit little-endian PCM of samples in -1..1."""
-    return b"".join(max(-(1 << 23), min((1 << 23) - 1, round(x * (1 << 23)))).to_bytes(3, "little", signed=True) for x in samples)
+def append_checkpoint(done: DataFrame, path: str) -> None:
+    """Rows done by this run, beside those before; task commits are atomic."""
+    done.write.mode("append").json(path)
+
+
+def reencode_scripts(spark: SparkSession, folder: str) -> None:
+    """Every script of a folder that executors mount becomes UTF-8; the first time, the
+    file as it was stays beside it as ``.bak``."""
+
+    def run(rows) -> None:
+        for row in rows:
+            place, data = row["path"].removeprefix("file:"), bytes(row["content"])
+            if not os.path.exists(place + ".bak"):
+                replace_file(place + ".bak", data)
+            replace_file(place, reencode(data))
+
+    spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(folder).select("path", "content").foreachPartition(run)
 
 
 def write_quarantine(found: DataFrame, path: str) -> None:

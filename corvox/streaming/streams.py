@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from dataclasses import replace
 
-import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from corvox.operators.align import score, squeeze
+from corvox.operators.align import AlignConfig, align
 
 
 def sessions(events: DataFrame, gap: str = "30 minutes", late: str = "1 hour") -> DataFrame:
@@ -35,23 +34,19 @@ def incremental(stream: DataFrame, work, path: str, checkpoint: str):
     return stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def align_stream(segments: DataFrame, lines: dict[int, dict[int, str]], window: int = 25, threshold: float = 0.5) -> DataFrame:
-    """The pointer of the aligner as keyed state: segments (script_id, seg_idx, text) that arrive in
-    order of seg_idx within a script are matched to the lines after the last match."""
-
-    def run(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        pointer = state.get[0] if state.exists else 1
-        script = lines.get(int(key[0]), {})
-        out = []
-        for row in pd.concat(batches).sort_values("seg_idx").itertuples():
-            heard, best, pick = squeeze(row.text), 0.0, None
-            for line in range(pointer, pointer + window):
-                if line in script and (value := score(heard, squeeze(script[line])) - 0.01 * (line - pointer)) > best:
-                    best, pick = value, line
-            if pick is not None and best >= threshold:
-                out.append((int(key[0]), int(row.seg_idx), pick, best))
-                pointer = pick + 1
-        state.update((pointer,))
-        yield pd.DataFrame(out, columns=["script_id", "seg_idx", "line_no", "score"])
-
-    return segments.groupBy("script_id").applyInPandasWithState(run, "script_id long, seg_idx long, line_no long, score double", "pointer long", "append", GroupStateTimeout.NoTimeout)
+def align_stream(stream: DataFrame, lines: DataFrame, files: DataFrame, path: str, checkpoint: str, config: AlignConfig = AlignConfig()):
+    """J1 on recordings as they arrive: a micro-batch holds segments of whole recordings, goes on
+    from the pointers that the batches before left as checkpoint rows, and writes its own
+    folder. What the pointer passes is logged; the tail of a script isn't, as more may come."""
+    spark, kept = stream.sparkSession, replace(config, checkpoints=True, log_tail=False)
+    keys = ["script_id", "file_idx"]
+
+    def run(batch: DataFrame, number: int) -> None:
+        try:
+            before = spark.read.parquet(path).where((F.col("batch") < number) & (F.col("kind") == "checkpoint"))
+        except AnalysisException:  # the first batch
+            before = None
+        came = batch.select(*keys).distinct()
+        align(batch, lines, files.join(came, keys, "left_semi"), kept, before).write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    return stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

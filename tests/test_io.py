@@ -1,8 +1,12 @@
 import io
 import wave
 
+import numpy as np
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corvox.operators.align import align
+
 from corvox.sources import readers as R
 from corvox.sources import writers as K
 from corvox.streaming.streams import align_stream, incremental
@@ -63,7 +67,42 @@ def test_streams(spark, tmp_path):
         incremental(spark.readStream.schema(schema).parquet(source), lambda b: b, out, str(tmp_path / "cp")).awaitTermination()
         assert spark.read.parquet(out).count() == expected
         spark.createDataFrame([(1, 3, "again")], schema).write.mode("append").parquet(source)
-    stream = align_stream(spark.readStream.schema(schema).parquet(source), {1: {1: "hello there", 2: "general kenobi"}})
-    q = stream.writeStream.format("memory").queryName("aligned").trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "cp2")).start()
-    q.awaitTermination()
-    assert {(r["seg_idx"], r["line_no"]) for r in spark.sql("SELECT * FROM aligned").collect()} == {(1, 1), (2, 2)}
+
+
+def test_aligned_stream_equals_one_run(spark, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    lines = spark.createDataFrame([(s, k, f"{chr(96 + k) * 6} number {k}") for s in (1, 2) for k in range(1, 9)], "script_id int, line_no int, text string")
+    files = spark.createDataFrame([(s, f, 4 * f + 1, 4 * f + 4) for s in (1, 2) for f in (0, 1)], "script_id int, file_idx int, start_line int, end_line int")
+    segments = lines.where("line_no <> 3").select("script_id", F.floor((F.col("line_no") - 1) / 4).cast("int").alias("file_idx"), F.col("line_no").alias("seg_idx"), "text")
+    for part in (0, 1):
+        segments.where(F.col("file_idx") == part).write.mode("append").parquet(source)
+        align_stream(spark.readStream.schema(segments.schema).parquet(source), lines, files, out, str(tmp_path / "cp")).awaitTermination()
+    row = lambda r: (r["script_id"], r["file_idx"], r["kind"], r["line_no"], r["reason"])
+    streamed = {row(r) for r in spark.read.parquet(out).where("kind <> 'checkpoint'").collect()}
+    assert streamed == {row(r) for r in align(segments, lines, files).collect()} and len(streamed) == 16
+
+
+def test_wav_files_and_rates(spark, tmp_path):
+    tone = np.sin(2 * np.pi * 440 * np.arange(4800) / 48000) * 0.5
+    clips = spark.createDataFrame([("a.wav", 48000, tone.tolist()), ("b.wav", 8000, [0.25, -0.25]), ("c.wav", 8000, None)], "filename string, sr int, samples array<double>")
+    for _ in range(2):  # written again: replaced
+        K.write_wav_files(clips, str(tmp_path / "w"))
+    rows = {r["path"].rsplit("/", 1)[1]: r for r in R.read_wavs(spark, str(tmp_path / "w")).collect()}
+    assert set(rows) == {"a.wav", "b.wav"} and np.abs(np.array(rows["a.wav"]["samples"]) - tone).max() < 1e-6
+    assert clips.select(K.wav_files("samples", "sr").alias("w")).collect()[1]["w"] == (tmp_path / "w" / "b.wav").read_bytes()
+    low = next(r for r in R.read_wavs(spark, str(tmp_path / "w"), mean=True, target=16000).collect() if r["path"].endswith("a.wav"))
+    assert low["sr"] == 16000 and len(low["samples"]) == 1600 and np.abs(np.array(low["samples"]) - tone[::3]).max() < 1e-3
+    assert K.pcm24([1.0, -1.0, 0.5]) == b"\xff\xff\x7f\x00\x00\x80\x00\x00\x40"
+
+
+def test_scripts_are_reencoded_once(spark, tmp_path):
+    raw = "가나\r\n\r\n 다라 ".encode("cp949")
+    (tmp_path / "s.txt").write_bytes(raw)
+    for _ in range(2):
+        K.reencode_scripts(spark, str(tmp_path))
+        assert (tmp_path / "s.txt").read_text() == "가나\n다라" and (tmp_path / "s.txt.bak").read_bytes() == raw
+    assert R.sniff_encoding(spark, str(tmp_path / "*.bak")).first()["guess"] == "cp949"
+
+
+def test_versions_are_claimed(spark, tmp_path):
+    assert [K.versioned_dir(spark, str(tmp_path), "run")[-2:] for _ in range(3)] == ["v1", "v2", "v3"]
