@@ -41,6 +41,11 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def own(df: DataFrame) -> DataFrame:
+    """``df`` with columns of its own: a join with the table it comes from is never ambiguous."""
+    return df.toDF(*df.columns)
+
+
 def small_batches(spark: SparkSession) -> None:
     """Bound the Arrow batches that Python operators of this session get: long texts come few
     at a time. Results don't depend on it."""

@@ -16,12 +16,19 @@
   filtered by a parity bitmap (its Hamming distance is at most the size of the symmetric
   difference, so no link is lost), verified on whole sets, and joined to components.
 * *The rest.* Then the classes of a list that still lie in different components are compared,
-  in blocks and in arrays, by size, by the place of the shared shingle (what comes after it
-  must suffice for a link) and by bitmap; only pairs that pass are given out and verified.
+  in blocks by size and in arrays, by size, by the place of the shared shingle (what comes
+  after it must suffice for a link) and by bitmap; only pairs that pass are given out and
+  verified.
+
+Shingles have two independent 64-bit hashes. Candidates come from the first, a class is
+known by both, and links are verified by the second. A wrong link needs many collisions of
+the second; a lost one a collision of two shingles, prefixes or lists in the first, with
+odds of 2**-64 a pair.
 """
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -31,13 +38,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corvox.llm._shared import materialize, small_batches, width
+from corvox.llm._shared import materialize, own, small_batches, width
 from corvox.llm.components import components
 from corvox.llm.shingles import mix, shingle_sets
 
 U = np.uint64
 COUNT_BITS, CHUNK_BITS, MAP_BITS = 23, 17, 10
-BLOCK = 512
+BLOCK = 128
 FLUSH = 1 << 20  # prefix shingles held by a task before they are sent
 BROADCAST_IDS = 2_000_000  # document ids (8 bytes each) broadcast at most
 
@@ -105,16 +112,16 @@ def parity(found: np.ndarray) -> bytes:
     return np.packbits((np.bincount(mix(found) >> U(64 - MAP_BITS), minlength=1 << MAP_BITS) & 1).astype(np.uint8)).tobytes()
 
 
-def set_key(found: np.ndarray) -> tuple[int, int]:
-    """128 bits that stand for a set."""
-    return int(np.sum(mix(found), dtype=np.uint64).view(np.int64)), int(np.sum(mix(found ^ U(0x5851F42D4C957F2D)), dtype=np.uint64).view(np.int64))
+def set_key(found: np.ndarray, second: np.ndarray) -> tuple[int, int]:
+    """128 bits that stand for a set: 64 of each of its shingles' two hashes."""
+    return int(np.sum(mix(found), dtype=np.uint64).view(np.int64)), int(np.sum(mix(second), dtype=np.uint64).view(np.int64))
 
 
 def prefixes(texts: DataFrame, table: np.ndarray, size: int, pct: int, parts: int) -> DataFrame:
     """Rows of two kinds: a document's (part null) with its id, set size, class, group and
     bitmap; and packed prefix entries of a hash range (part, shingles, groups, sizes)."""
     order = texts.sparkSession.sparkContext.broadcast(table)  # 2**COUNT_BITS bytes
-    names = ["part", "shingles", "groups", "sizes", "_id", "n", "u", "u2", "g", "bits"]
+    names = ["part", "shingles", "groups", "sizes", "_id", "n", "h1", "h2", "g", "bits"]
     kinds = [pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
 
     def packed(held: list) -> pa.RecordBatch:
@@ -131,17 +138,17 @@ def prefixes(texts: DataFrame, table: np.ndarray, size: int, pct: int, parts: in
         rank, sent, held, n_held = order.value, set(), [], 0
         for batch in batches:
             rows = []
-            for found in shingle_sets(batch.column(1).to_pylist(), size):
+            for found, second in shingle_sets(batch.column(1).to_pylist(), size, (0, 1)):
                 n = len(found)
                 if not n:
                     rows.append((0, None, None, None, None))
                     continue
-                u, u2 = set_key(found)
+                h1, h2 = set_key(found, second)
                 by = np.argsort(rank[found >> U(64 - COUNT_BITS)], kind="stable")
                 probe = n - -(-pct * n // 100) + 1
                 prefix = found[by[:probe]]
                 g = int(np.sum(mix(prefix ^ U(2 * n)), dtype=np.uint64).view(np.int64))
-                rows.append((n, u, u2, g, parity(found)))
+                rows.append((n, h1, h2, g, parity(found)))
                 if g not in sent:
                     sent.add(g)
                     place = (256 * np.arange(probe, dtype=np.uint64)) // U(probe)  # of 256 parts of the prefix
@@ -157,7 +164,7 @@ def prefixes(texts: DataFrame, table: np.ndarray, size: int, pct: int, parts: in
         if held:
             yield packed(held)
 
-    return texts.mapInArrow(run, "part int, shingles binary, groups binary, sizes binary, _id long, n int, u long, u2 long, g long, bits binary")
+    return texts.mapInArrow(run, "part int, shingles binary, groups binary, sizes binary, _id long, n int, h1 long, h2 long, g long, bits binary")
 
 
 def group_lists(packed: DataFrame, pct: int) -> DataFrame:
@@ -230,17 +237,32 @@ def group_lists(packed: DataFrame, pct: int) -> DataFrame:
     return packed.mapInArrow(run, "list long, g long, n int, place int, pivot long")
 
 
+def block_pairs(entries: DataFrame, pct: int) -> DataFrame:
+    """``entries`` (list, u, n, place, root, bits) dealt to pairs of blocks: list, x, y, mine and the rest.
+
+    A list is cut by size into bands, of which only neighbours can hold a link, and a band by
+    hash into blocks of about BLOCK entries. ``cap`` is the largest partner that the place of
+    the shared shingle leaves to an entry; an entry goes only to blocks that hold some entry
+    of another component within both caps. No link is lost.
+    """
+    band = F.floor(F.log(F.col("n").cast("double")) / math.log(1.001 * 100 / pct)).cast("int")  # sizes of a link: at most one band apart
+    sized = entries.withColumns({"band": band, "cap": F.floor((100 * F.col("n") - (100 + pct) * F.col("place")) / pct)})
+    counts = sized.groupBy("list", "band").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("long").alias("blocks"))
+    cut = sized.join(counts, ["list", "band"]).withColumn("mine", F.col("band").cast("long") * (1 << 32) + F.pmod(F.xxhash64("u"), F.col("blocks")))
+    of = cut.groupBy("list", "band", F.col("mine").alias("other")).agg(F.min("n").alias("least"), F.max("n").alias("most"), F.max("cap").alias("reach"), F.min("root").alias("r0"), F.max("root").alias("r1"))
+    turned = cut.select("*", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("to")).drop("band")
+    met = turned.join(of.withColumnRenamed("band", "to"), ["list", "to"])
+    some = (F.col("reach") >= F.col("n")) & (F.col("least") <= F.col("cap")) & (100 * F.col("most") >= pct * F.col("n")) & ((F.col("r0") != F.col("root")) | (F.col("r1") != F.col("root")))
+    return met.where(some).select("list", F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y"), "mine", "u", "n", "place", "root", "bits")
+
+
 def unlike_pairs(entries: DataFrame, pct: int) -> DataFrame:
     """Pairs (a, b) of one list and different components that sizes, places and bitmaps allow.
 
-    ``entries``: list, u, n, place, root, bits. A list is compared in blocks of BLOCK entries by
-    BLOCK, each block pair a group of its own; pairs are made and filtered in arrays, and only
+    Each pair of blocks is a group of its own; pairs are made and filtered in arrays, and only
     those that may be links leave the task.
     """
-    counts = entries.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    mine = entries.join(counts, "list").withColumn("mine", F.pmod(F.xxhash64("u"), F.col("blocks")).cast("int"))
-    dealt = mine.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    keyed = dealt.select("list", F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y"), "mine", "u", "n", "place", "root", "bits")
+    keyed = block_pairs(entries, pct)
     least = needed(pct)
 
     def compare(rows: dict) -> tuple[np.ndarray, np.ndarray]:
@@ -314,24 +336,27 @@ def filtered(pairs: DataFrame, classes: DataFrame, pct: int) -> DataFrame:
 
 
 def verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, size: int, pct: int) -> DataFrame:
-    """Pairs (a, b) whose whole sets reach the threshold."""
+    """Pairs (a, b) whose whole sets reach the threshold, by the second hash of their shingles:
+    what the first took for equal by chance doesn't link."""
     wanted = pairs.select(F.col("a").alias("u")).union(pairs.select(F.col("b").alias("u"))).distinct()
-    wanted = materialize(wanted.join(classes.select("u", "first_id"), "u"), "join-wanted")
-    ids = wanted.select(F.col("first_id").alias("_id")).distinct()
+    wanted = materialize(wanted.join(classes.select("u", "h1", "h2", "first_id"), "u"), "join-wanted")
+    ids = wanted.select(F.col("first_id").alias("_want")).distinct()
     small = wanted.count() <= BROADCAST_IDS
-    rows = texts.join(F.broadcast(ids) if small else ids, "_id")
+    rows = texts.join(F.broadcast(ids) if small else ids, F.col("_id").eqNullSafe(F.col("_want")), "left_semi")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, data = [], []
-            for found in shingle_sets(batch.column(0).to_pylist(), size):
+            for found, second in shingle_sets(batch.column(0).to_pylist(), size, (0, 1)):
                 if len(found):
-                    keys.append(set_key(found)[0])
-                    data.append(found.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(data, pa.binary())], names=["u", "items"])
-
-    made = rows.select("_text").mapInArrow(sets, "u long, items binary")
-    found = materialize(made.join(F.broadcast(wanted.select("u")) if small else wanted.select("u"), "u", "left_semi").dropDuplicates(["u"]), "join-sets")
+                    keys.append(set_key(found, second))
+                    data.append(np.sort(second).tobytes())
+            h1, h2 = zip(*keys, strict=True) if keys else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), pa.array(data, pa.binary())], names=["h1", "h2", "items"])
+
+    made = rows.select("_text").mapInArrow(sets, "h1 long, h2 long, items binary")
+    keys = wanted.select("u", "h1", "h2")
+    found = materialize(made.join(F.broadcast(keys) if small else keys, ["h1", "h2"]).select("u", "items").dropDuplicates(["u"]), "join-sets")
     a = found.select(F.col("u").alias("a"), F.col("items").alias("ia"))
     b = found.select(F.col("u").alias("b"), F.col("items").alias("ib"))
     least = needed(pct)
@@ -362,11 +387,9 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     tasks = width(docs.sparkSession)
     texts = _texts(docs, id_col, text_col)
     scanned = materialize(prefixes(texts, shingle_counts(texts, size), size, pct, 4 * tasks), "join-scan")
-    rows = scanned.where("part is null").select("_id", "n", "u", "u2", "g", "bits")
-    classes = materialize(
-        rows.where("n > 0").groupBy("u", "u2").agg(F.min("_id").alias("first_id"), F.first("n").alias("n"), F.first("g").alias("g"), F.first("bits").alias("bits")),
-        "join-classes",
-    )
+    rows = scanned.where("part is null").select("_id", "n", "h1", "h2", "g", "bits")
+    alike = rows.where("n > 0").groupBy("h1", "h2").agg(F.min("_id").alias("first_id"), F.first("n").alias("n"), F.first("g").alias("g"), F.first("bits").alias("bits"))
+    classes = materialize(alike.withColumn("u", F.monotonically_increasing_id()), "join-classes")  # written, so numbers stay
     met = group_lists(scanned.where("part is not null").select("part", "shingles", "groups", "sizes").repartition(tasks, "part").select("shingles", "groups", "sizes"), pct)
     lists = materialize(met.groupBy("list", "g").agg(F.first("n").alias("n"), F.min("place").alias("place"), F.first("pivot", ignorenulls=True).alias("pivot")), "join-lists")
     members = classes.select("g", "u", "n")
@@ -395,16 +418,18 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     settled = materialize(links.union(more), "join-links")
     roots = components(settled)
 
-    named = classes.select("u", "u2", "first_id").join(roots, F.col("u") == F.col("node"), "left").withColumn("root", F.coalesce("root", "u"))
+    named = classes.select("u", "h1", "h2", "first_id").join(roots, F.col("u") == F.col("node"), "left").withColumn("root", F.coalesce("root", "u"))
     names = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    by_class = named.join(names, "root").select("u", "u2", "component_id")
-    return rows.join(by_class, ["u", "u2"], "left").select(
+    by_class = named.join(names, "root").select("h1", "h2", "component_id")
+    return rows.join(by_class, ["h1", "h2"], "left").select(
         F.col("_id").alias(id_col), F.col("n").cast("long").alias("n_shingles"), F.coalesce("component_id", F.col("_id")).alias("component_id")
     )
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **join) -> DataFrame:
-    """The rows of ``docs`` that stay: of each component the row with its smallest id."""
+    """The rows of ``docs`` that stay, with all their columns: of each component the row with its
+    smallest id. Rows that repeat that id stay too."""
     found = ngram_components(docs, id_col, text_col, **join)
-    stay = found.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("_stay")).distinct()
-    return docs.join(stay, F.col(id_col).eqNullSafe(F.col("_stay")), "left_semi")
+    stay = found.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col)).distinct()
+    kept = own(stay.select(F.col(id_col).alias("stay")))
+    return docs.join(kept, F.col(id_col).eqNullSafe(kept["stay"]), "left_semi")
