@@ -41,6 +41,14 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_name(name: str, df: DataFrame) -> str:
+    """``name``, with as many underscores before it as no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def own(df: DataFrame) -> DataFrame:
     """``df`` with columns of its own: a join with the table it comes from is never ambiguous."""
     return df.toDF(*df.columns)

@@ -3,8 +3,13 @@
 Rows of an old shard that are about equally large form a block. Rows that stay in the shard
 of their number cost nothing, a row that moves costs its bytes. The flow network has a node
 for each old and each new shard and an arc for each block, so it is bounded by shards times
-size classes; it is solved on the driver by successive cheapest paths. Rows find their
-shard by their rank in their block, and only shards that lose or gain rows are rewritten.
+size classes; it is solved on the driver by successive cheapest paths. It says how many rows
+each shard sends where; the rows that go are the shard's smallest, found by narrowing the
+size at which they end, so the bytes moved are the least there can be.
+
+Rows find their shard and slot without meeting one another: a shard's rows are dealt to
+salts by hash, and from the row counts of (shard, salt) follows where each salt's rows go.
+The texts are shuffled once, to the task that writes them.
 """
 
 from __future__ import annotations
@@ -12,14 +17,14 @@ from __future__ import annotations
 import heapq
 import math
 from collections import defaultdict
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corvox.llm._shared import distributed_rank, materialize, remove_at_end, shared_path
+from corvox.llm._shared import free_name, materialize, remove_at_end, shared_path, width
 
-CLASSES_PER_OCTAVE = 8
-MAX_SHARDS = 4096
+CLASSES_PER_OCTAVE, PARTS = 8, 256
 
 
 def cheapest_transfers(blocks: dict[int, list[tuple[int, float]]], capacity: list[int]) -> dict[int, dict[int, int]]:
@@ -104,70 +109,149 @@ def row_capacities(rows: dict[int, int], shards: int) -> list[int]:
     return [n // shards + (j in set(larger)) for j in range(shards)]
 
 
-def reshard(docs: DataFrame, old: Column, shards: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: id, size, text_crc32, old_shard, shard, slot.
+@dataclass(frozen=True)
+class Plan:
+    """``rows``: id, size, text_crc32 and old shard of every row (a written table). ``shards``: by old
+    shard its salts and the size at which its moving rows end. ``routes``: by old shard and salt
+    the parts (cat, from, to, shard, slot) of its rows. ``affected``: shards that lose or gain rows."""
 
-    ``old`` is the present shard of a row (an int; null, negative or over the new number:
-    a row that has to move). New shards hold row counts at most one apart, and of all ways
-    to reach them one that moves the fewest bytes (up to the width of a size class) is
-    taken. ``size`` is the text's UTF-8 bytes (null: none) plus 16; slots number a shard's
-    rows from 0. Repeated rows are placed each for itself, null ids pass through, other
-    columns are not read. An empty table gives no rows.
-    """
-    spark = docs.sparkSession
+    rows: DataFrame
+    shards: DataFrame
+    routes: DataFrame
+    affected: list[int]
+
+
+def described(docs: DataFrame, old: Column, id_col: str, text_col: str, *more: Column) -> DataFrame:
     text = F.coalesce(F.col(text_col), F.lit(""))
-    size = (F.octet_length(text) + 16).cast("long")
+    size, crc = (F.octet_length(text) + 16).cast("long"), F.crc32(text.cast("binary"))
     known = F.coalesce(old.cast("int"), F.lit(-1))
-    rows = materialize(
-        docs.select(F.col(id_col).alias("_id"), size.alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.when((known < 0) | (known >= MAX_SHARDS), -1).otherwise(known).alias("old_shard"))
-        .withColumn("_class", F.floor(F.log2(F.col("size").cast("double")) * CLASSES_PER_OCTAVE).cast("int")),
-        "shard-rows",
-    )
+    return docs.select(F.col(id_col).alias("id"), size.alias("size"), crc.alias("text_crc32"), F.when(known < 0, -1).otherwise(known).alias("old_shard"), *more)
+
+
+def cut_sizes(rows: DataFrame, sent: dict[int, tuple[float, float, int]]) -> dict[int, tuple[int, int]]:
+    """For each old shard (size, rows): its moving rows are all below that size and so many of it.
+    ``sent``: bounds of the size class (from, below) in which its moving rows end, and how many of
+    that class's rows go. Each step counts by PARTS parts of what is left of the bounds."""
+    found: dict[int, tuple[int, int]] = {}
+    spans = {i: (math.floor(a), math.ceil(b), k) for i, (a, b, k) in sent.items()}
+    while spans:
+        step = rows.sparkSession.createDataFrame([(i, a, -(-(b - a) // PARTS)) for i, (a, b, _) in spans.items()], "old_shard int, _from long, _wide long")
+        part = F.floor((F.col("size") - F.col("_from")) / F.col("_wide"))
+        inside = rows.join(F.broadcast(step), "old_shard").where((F.col("size") >= F.col("_from")) & (part < PARTS))
+        counts = defaultdict(dict)
+        for r in inside.groupBy("old_shard", part.alias("part")).count().collect():  # shards x PARTS
+            counts[r["old_shard"]][r["part"]] = r["count"]
+        left = {}
+        for i, (a, b, k) in spans.items():
+            wide = -(-(b - a) // PARTS)
+            for p in sorted(counts[i]):
+                if k <= counts[i][p]:
+                    break
+                k -= counts[i][p]
+            if wide == 1:
+                found[i] = a + p, k
+            else:
+                left[i] = a + p * wide, a + (p + 1) * wide, k
+        spans = left
+    return found
+
+
+def plan_shards(docs: DataFrame, old: Column, shards: int, id_col: str = "doc_id", text_col: str = "text", rows_per_file: int = 250_000) -> Plan:
+    """Where the rows of ``docs`` go (see ``reshard``). The driver holds numbers by old shard and
+    size class; salts, a few for each task or one for each ``rows_per_file`` rows, stay in tables."""
+    spark = docs.sparkSession
+    rows = materialize(described(docs, old, id_col, text_col), "shard-rows")
+    octave = F.floor(F.log2(F.col("size").cast("double")) * CLASSES_PER_OCTAVE).cast("int")
     blocks: dict[int, dict[int, tuple[int, int]]] = defaultdict(dict)
-    for r in rows.groupBy("old_shard", "_class").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes")).collect():  # shards x classes
-        blocks[r["old_shard"]][r["_class"]] = r["n"], r["bytes"]
-    counts = {i: sum(n for n, _ in b.values()) for i, b in blocks.items()}
+    for r in rows.groupBy("old_shard", octave.alias("c")).agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes"), F.min("size").alias("a"), F.max("size").alias("b")).collect():  # shards x classes
+        blocks[r["old_shard"]][r["c"]] = r["n"], r["bytes"], r["a"], r["b"]
+    counts = {i: sum(b[0] for b in parts.values()) for i, parts in blocks.items()}
     plan = cheapest_transfers({i: [(b[c][0], b[c][1] / b[c][0]) for c in sorted(b)] for i, b in blocks.items()}, row_capacities(counts, shards))
 
-    runs = [(-2, 0, 0, 0, 0)]
-    for i, b in blocks.items():
-        queue = [[j, n] for j, n in plan.get(i, {}).items()]
-        for c in sorted(b):
-            at, n = 0, b[c][0]
-            while at < n:
-                if queue:
-                    k = min(n - at, queue[0][1])
-                    runs.append((i, c, at, at + k, queue[0][0]))
-                    queue[0][1] -= k
-                    if not queue[0][1]:
-                        queue.pop(0)
-                else:
-                    k = n - at
-                    runs.append((i, c, at, n, i))
-                at += k
-    moves = spark.createDataFrame(runs, "old_shard int, _class int, _from long, _to long, shard int")
-    ranked = distributed_rank(rows, ["old_shard", "_class"], ["size", "_id", "text_crc32"], "_rank", ["_id", "text_crc32"])
-    here = (F.col("_rank") >= F.col("_from")) & (F.col("_rank") < F.col("_to"))
-    joined = ranked.join(F.broadcast(moves.withColumnRenamed("old_shard", "_o").withColumnRenamed("_class", "_c")), (F.col("old_shard") == F.col("_o")) & (F.col("_class") == F.col("_c")) & here)
-    placed = materialize(joined.select("_id", "size", "text_crc32", "old_shard", "shard"), "shard-placed")
-    return distributed_rank(placed, ["shard"], ["_id", "text_crc32"], "slot", ["_id", "text_crc32"]).withColumnRenamed("_id", id_col)
-
-
-def rewrite_affected(docs: DataFrame, placed: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", rows_per_file: int = 1_000_000) -> list[int]:
-    """Write the shards that lose or gain rows under ``path`` as shard=N, and return their
-    numbers; the files of all others stay as they are. ``placed`` comes from ``reshard``."""
-    moved = placed.where("old_shard <> shard")
-    affected = sorted(r[0] for r in moved.select("old_shard").union(moved.select("shard")).distinct().collect() if r[0] >= 0)
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    # ids in a struct, in which nulls are equal: join and numbering then share one shuffle of the texts
-    left = docs.withColumns({"_key": F.struct(id_col), "_crc": F.crc32(text.cast("binary"))})
-    right = placed.where(F.col("shard").isin(affected)).groupBy(F.struct(id_col).alias("_pkey"), F.col("text_crc32").alias("_pcrc")).agg(F.array_sort(F.collect_list(F.struct("shard", "slot"))).alias("_places"))
-    joined = left.join(right, (F.col("_key") == F.col("_pkey")) & (F.col("_crc") == F.col("_pcrc")))
-    nth = F.row_number().over(Window.partitionBy("_key", "_crc").orderBy(F.lit(1)))
-    found = joined.withColumn("_place", F.get("_places", nth - 1)).where("_place is not null")
-    rows = found.select(*docs.columns, "_place.shard", "_place.slot").withColumn("_file", F.floor(F.col("slot") / rows_per_file))
-    rows.repartition("shard", "_file").sortWithinPartitions("shard", "slot").drop("_file").write.partitionBy("shard").parquet(path)
-    return affected
+    sent, below = {}, {}
+    for i, to in plan.items():
+        k = sum(to.values())
+        for c in sorted(blocks[i]):
+            n, _, a, b = blocks[i][c]
+            if k <= n:
+                sent[i], below[i] = (a, b + 1, k), sum(to.values()) - k
+                break
+            k -= n
+    cuts = cut_sizes(rows, sent)
+
+    total, runs = sum(counts.values()), [(-2, 0, 0, 0, 0)]
+    for i, n in counts.items():
+        to = [[j, k] for j, k in sorted(plan.get(i, {}).items())]
+        moving = sum(k for _, k in to)
+        at_cut = cuts[i][1] if i in cuts else 0
+        for cat, size in ((0, moving - at_cut), (1, at_cut)):
+            at = 0
+            while at < size:
+                k = min(size - at, to[0][1])
+                runs.append((i, cat, at, at + k, to[0][0]))
+                at, to[0][1] = at + k, to[0][1] - k
+                if not to[0][1]:
+                    to.pop(0)
+        runs += [(i, 1, at_cut, n, i), (i, 2, 0, n, i)] if n > moving else []
+    salts = {i: max(-(-n // rows_per_file), -(-4 * width(spark) * n // total)) for i, n in counts.items()}
+    known = spark.createDataFrame([(i, salts[i], cuts[i][0] if i in cuts else -1) for i in counts] or [(-2, 1, -1)], "old_shard int, salts long, cut long")
+
+    groups = materialize(dealt(rows, known).groupBy("old_shard", "salt", "cat").agg(F.count(F.lit(1)).alias("n")), "shard-groups")
+    before = lambda *by: Window.partitionBy(*by).rowsBetween(Window.unboundedPreceding, -1)
+    start = F.coalesce(F.sum("n").over(before("old_shard", "cat").orderBy("salt")), F.lit(0))
+    each = spark.createDataFrame(runs, "_o int, _c int, _from long, _to long, shard int")  # some a shard, and one for each transfer of the flow
+    met = groups.withColumn("start", start).join(F.broadcast(each), (F.col("old_shard") == F.col("_o")) & (F.col("cat") == F.col("_c")) & (F.col("_from") < F.col("start") + F.col("n")) & (F.col("_to") > F.col("start")))
+    parts = met.select("old_shard", "salt", "cat", (F.greatest("_from", "start") - F.col("start")).alias("from"), (F.least("_to", F.col("start") + F.col("n")) - F.col("start")).alias("to"), "shard")
+    slot = F.coalesce(F.sum(F.col("to") - F.col("from")).over(before("shard").orderBy("old_shard", "salt", "cat", "from")), F.lit(0))
+    routes = parts.withColumn("slot", slot).groupBy("old_shard", "salt").agg(F.collect_list(F.struct("cat", "from", "to", "shard", "slot")).alias("parts"))  # few: three kinds and the shard's transfers
+    moved = [i for i in plan if i >= 0] + [j for to in plan.values() for j in to]
+    return Plan(rows, known, materialize(routes, "shard-routes"), sorted(set(moved)))
+
+
+def dealt(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """Rows with their salt and ``cat``: below the size at which their shard's moving rows end (0),
+    of it (1), or above it (2)."""
+    cat = F.when(F.col("size") < F.col("cut"), 0).when(F.col("size") == F.col("cut"), 1).otherwise(2)
+    return rows.join(F.broadcast(known), "old_shard").withColumns({"salt": F.pmod(F.xxhash64("id", "text_crc32"), F.col("salts")), "cat": cat}).drop("salts", "cut")
+
+
+def placed(rows: DataFrame, plan: Plan) -> DataFrame:
+    """``rows`` (id, size, text_crc32, old_shard and any more) with shard and slot, by one shuffle."""
+    mine = dealt(rows, plan.shards).repartition("old_shard", "salt")
+    nth = F.row_number().over(Window.partitionBy("old_shard", "salt", "cat").orderBy("id", "text_crc32", "size")) - 1
+    joined = mine.withColumn("nth", nth).join(plan.routes, ["old_shard", "salt"])
+    part = F.get(F.filter("parts", lambda p: (p["cat"] == F.col("cat")) & (p["from"] <= F.col("nth")) & (F.col("nth") < p["to"])), 0)
+    return joined.withColumn("part", part).select(*rows.columns, F.col("part.shard").alias("shard"), (F.col("part.slot") + F.col("nth") - F.col("part.from")).alias("slot"))
+
+
+def reshard(docs: DataFrame, old: Column, shards: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per row of ``docs``: id, size, text_crc32, old_shard, shard, slot.
+
+    ``old`` is the present shard of a row (an int; null, negative or over the new number:
+    a row that has to move; null and negative ones are given as -1). New shards hold row counts
+    at most one apart, and of all ways to reach them one that moves the fewest bytes is taken.
+    ``size`` is the text's UTF-8 bytes (null: none) plus 16; slots number a shard's rows from 0.
+    Repeated rows are placed each for itself (those of one id and text by one task), null ids
+    pass through, other columns are not read. An empty table gives no rows. The driver holds
+    a few numbers by old shard, so ``old`` must name shards and not rows.
+    """
+    plan = plan_shards(docs, old, shards, id_col, text_col)
+    return placed(plan.rows, plan).withColumnRenamed("id", id_col)
+
+
+def rewrite_affected(docs: DataFrame, old: Column, plan: Plan, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Write the rows of all shards that lose or gain rows under ``path``, a folder a shard, with
+    their slot, and return what is read back; the files of all other shards stay as they are.
+    ``plan`` comes from ``plan_shards``. Columns named like ``shard`` and ``slot`` keep their
+    names, and these two get underscores."""
+    spark = docs.sparkSession
+    shard, slot = free_name("shard", docs), free_name("slot", docs)
+    rows = described(docs, old, id_col, text_col, F.struct(*docs.columns).alias("row"))
+    written = placed(rows.where(F.col("old_shard").isin([-1, *plan.affected])), plan)
+    out = written.select("row.*", F.col("shard").alias(shard), F.col("slot").alias(slot))
+    out.sortWithinPartitions(shard, slot).write.option("compression", "zstd").partitionBy(shard).parquet(path)
+    fields = docs.withColumns({slot: F.lit(0).cast("long"), shard: F.lit(0)}).schema
+    return spark.read.schema(fields).parquet(path)
 
 
 def rewritten(docs: DataFrame, old: Column, shards: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -176,17 +260,12 @@ def rewritten(docs: DataFrame, old: Column, shards: int, id_col: str = "doc_id",
     expression on the columns of ``docs``. Rows of other shards, whose files stay as they
     are, come from the plan."""
     spark = docs.sparkSession
-    names = [id_col, "size", "text_crc32", "old_shard", "shard", "slot"]
-    placed = materialize(reshard(docs, old, shards, id_col, text_col), "shard-slots").select(*names)
+    plan = plan_shards(docs, old, shards, id_col, text_col)
     path = shared_path(spark, "shard-files")
-    affected = rewrite_affected(docs, placed, path, id_col, text_col)
+    files = rewrite_affected(docs, old, plan, path, id_col, text_col)
     remove_at_end(spark, path)
-    if not affected:
-        return placed
-    files = spark.read.schema(docs.withColumns({"slot": F.lit(0).cast("long"), "shard": F.lit(0)}).schema).parquet(path)
-    text, known = F.coalesce(F.col(text_col), F.lit("")), F.coalesce(old.cast("int"), F.lit(-1))
-    read = files.select(
-        id_col, (F.octet_length(text) + 16).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
-        F.when((known < 0) | (known >= MAX_SHARDS), -1).otherwise(known).alias("old_shard"), "shard", "slot",
-    )
-    return read.unionByName(placed.where(~F.col("shard").isin(affected)))
+    read = described(files, old, id_col, text_col, F.col(free_name("shard", docs)).alias("shard"), F.col(free_name("slot", docs)).alias("slot"))
+    if set(plan.affected) >= set(range(shards)):
+        return read.withColumnRenamed("id", id_col)
+    rest = placed(plan.rows.where(~F.col("old_shard").isin([-1, *plan.affected])), plan)
+    return read.unionByName(rest).withColumnRenamed("id", id_col)

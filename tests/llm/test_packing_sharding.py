@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from corvox.llm import registry, sharding
 from corvox.llm.packing import Encoder, load_tokenizer, pack, sweeps
-from corvox.llm.sharding import MAX_SHARDS, cheapest_transfers, reshard, rewrite_affected, row_capacities
+from corvox.llm.sharding import cheapest_transfers, plan_shards, reshard, rewrite_affected, rewritten, row_capacities
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 ODD = ["", " ", "a\n\nb's don't", "x,. y., ., , .", "<|endoftext|>x a", "É́ ΣΑΣ. ΟΔΟΣ", "日本語 テキスト", "word " * 300, "a" * 5000, None, "Ab c\tD   e"]
@@ -90,21 +90,43 @@ def test_transfers_are_cheapest():
         assert plan_cost(blocks, plan) == pytest.approx(least)
 
 
-def test_reshard_and_rewrite(spark, tmp_path):
-    rows = [(k % 50, None if k % 17 == 0 else "é" * (k % 90), None if k % 13 == 0 else k % 3) for k in range(211)] + [(None, "n", MAX_SHARDS + 1)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, old int")
-    placed = reshard(docs, F.col("old"), 5).cache()
-    found = placed.collect()
-    shards = {}
+CLASHING = "doc_id long, text string, old int, shard string, slot string, old_shard int, salt int, cat int, row int, parts int"
+
+
+def reshard_rows(k):
+    return [(i % 50, None if i % 17 == 0 else "é" * (i * i % 90), None if i % 13 == 0 else -5 if i % 29 == 0 else i % 3 if i % 5 else 6000, "s", "t", 1, 2, 3, 4, 5) for i in range(k)]
+
+
+@pytest.mark.parametrize("shards", [1, 2, 5, 9])
+def test_reshard_and_rewrite(spark, tmp_path, shards):
+    rows = [*reshard_rows(211), (None, "n", 4097, "s", "t", 1, 2, 3, 4, 5)]
+    docs = spark.createDataFrame(rows, CLASHING)
+    found = reshard(docs, F.col("old"), shards).collect()
+    slots, old = {}, {}
     for r in found:
-        shards.setdefault(r["shard"], []).append(r["slot"])
-    assert len(found) == len(rows) and all(sorted(s) == list(range(len(s))) for s in shards.values())
-    assert set(shards) == set(range(5)) and max(map(len, shards.values())) - min(map(len, shards.values())) <= 1
-    assert sorted((r["doc_id"] or -1, r["size"], r["text_crc32"]) for r in found) == sorted((i if i is not None and i else (-1 if i is None else 0) or (i or -1), len((t or "").encode()) + 16, zlib.crc32((t or "").encode())) for i, t, _ in rows)
-    affected = rewrite_affected(docs, placed, str(tmp_path / "out"))
-    written = spark.read.parquet(str(tmp_path / "out"))
-    assert written.count() == sum(r["shard"] in affected for r in found) and {r["shard"] for r in written.select("shard").distinct().collect()} == set(affected)
-    assert reshard(docs.limit(0), F.col("old"), 5).count() == 0
+        slots.setdefault(r["shard"], []).append(r["slot"])
+        old.setdefault(r["old_shard"], []).append(r)
+    assert len(found) == len(rows) and all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert set(slots) == set(range(shards)) and max(map(len, slots.values())) - min(map(len, slots.values())) <= 1
+    key = lambda i, n, c, o: (i is None, i or 0, n, c, o)
+    want = sorted(key(i, len((t or "").encode()) + 16, zlib.crc32((t or "").encode()), -1 if o is None or o < 0 else o) for i, t, o, *_ in rows)
+    assert sorted(key(*r[:4]) for r in found) == want
+    for i, mine in old.items():  # the smallest rows go, and no more than must
+        moved = sorted(r["size"] for r in mine if r["shard"] != i)
+        assert moved == sorted(r["size"] for r in mine)[: len(moved)]
+        assert len(moved) == len(mine) - (min(len(mine), len(slots[i])) if 0 <= i < shards else 0)
+    plan = plan_shards(docs, F.col("old"), shards)
+    files = rewrite_affected(docs, F.col("old"), plan, str(tmp_path / "out"))
+    assert files.columns == [*docs.columns, "_slot", "_shard"] and {r["slot"] for r in files.collect()} == {"t"}
+    assert sorted(r["_slot"] for r in files.collect()) == sorted(r["slot"] for r in found if r["shard"] in plan.affected)
+    assert sorted(map(tuple, rewritten(docs, F.col("old"), shards).select(*found[0].asDict()).collect()), key=str) == sorted(map(tuple, found), key=str)
+    assert reshard(docs.limit(0), F.col("old"), shards).count() == 0 == rewritten(docs.limit(0), F.col("old"), shards).count()
+
+
+def test_nothing_moves_where_shards_are_even(spark):
+    docs = spark.createDataFrame([(k, "x" * k, k % 4) for k in range(100)], "doc_id long, text string, old int")
+    assert plan_shards(docs, F.col("old"), 4).affected == []
+    assert all(r["shard"] == r["old_shard"] for r in rewritten(docs, F.col("old"), 4).collect())
 
 
 def test_encoder_letters_that_become_marks():
@@ -122,7 +144,7 @@ def test_resharding_query_reads_written_shards(spark, tmp_path, monkeypatch):
     docs = [(k, None if k % 7 == 0 else "é" * (k % 50), "en") for k in range(300)] + [(5, "é" * 5, "en")]
     spark.createDataFrame(docs, "doc_id long, text string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
     written = []
-    monkeypatch.setattr(sharding, "rewrite_affected", lambda d, p, path, *a: (written.append(path), rewrite_affected(d, p, path, *a))[1])
+    monkeypatch.setattr(sharding, "rewrite_affected", lambda *a: (written.append(a[3]), rewrite_affected(*a))[1])
     rows = registry.op3_flow_resharding(spark, str(tmp_path)).collect()
     assert sorted((r["doc_id"], r["size"], r["text_crc32"]) for r in rows) == sorted((k, len((t or "").encode()) + 16, zlib.crc32((t or "").encode())) for k, t, _ in docs)
     affected = {s for r in rows if r["old_shard"] != r["shard"] for s in (r["old_shard"], r["shard"])}
