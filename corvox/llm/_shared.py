@@ -36,7 +36,7 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     executor costs a re-read and not a re-run. The driver removes the table when it ends."""
     spark = df.sparkSession
     path = shared_path(spark, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     remove_at_end(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
