@@ -65,24 +65,28 @@ def width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def distributed_rank(df: DataFrame, keys: list[str], order: list[str | Column], out: str, spread: list[str]) -> DataFrame:
-    """Add ``out``: a gapless rank from 0 within ``keys``, in order of (salt, ``order``).
+def salted(df: DataFrame) -> DataFrame:
+    """Add ``_salt``, one of a few numbers per shuffle partition, to a table that is about to be
+    written. Rows are dealt in turn, so that rows alike in all columns get different ones."""
+    return df.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(4 * width(df.sparkSession))).cast("int"))
 
-    A key may hold any share of the rows: rows are numbered within (key, salt), with a few
-    salts per shuffle partition, and each salt starts where the ones before it end. Only
-    counts, one row per (key, salt), come together by key. ``df`` must be a written table.
+
+def distributed_rank(df: DataFrame, keys: list[str], order: list[str | Column], out: str) -> DataFrame:
+    """Add ``out``: a gapless rank from 0 within ``keys``, in order of (``_salt``, ``order``).
+
+    A key may hold any share of the rows: rows are numbered within (key, salt), and each salt
+    starts where the ones before it end. Only counts, one row per (key, salt), come together by
+    key. ``df`` must be a written table with ``_salt``, which goes.
     """
-    salts = 4 * width(df.sparkSession)
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
     starts = (
-        salted.groupBy(*keys, "_salt").count()
+        df.groupBy(*keys, "_salt").count()
         .withColumn("_start", F.coalesce(F.sum("count").over(
             Window.partitionBy(*keys).orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
         .drop("count")
     )
     local = F.row_number().over(Window.partitionBy(*keys, "_salt").orderBy(*order))
     return (
-        salted.withColumn("_local", local)
+        df.withColumn("_local", local)
         .join(starts, [*keys, "_salt"])
         .withColumn(out, F.col("_start") + F.col("_local") - 1)
         .drop("_salt", "_start", "_local")

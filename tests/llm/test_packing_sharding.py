@@ -1,6 +1,7 @@
 import random
 import unicodedata
 import zlib
+from bisect import bisect_left, insort
 
 import numpy as np
 import public_tokenizers
@@ -8,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corvox.llm import registry, sharding
-from corvox.llm.packing import Encoder, load_tokenizer, pack, sweeps
+from corvox.llm.packing import Encoder, load_tokenizer, pack, rank_matches, successors, sweeps
 from corvox.llm.sharding import cheapest_transfers, plan_shards, reshard, rewrite_affected, rewritten, row_capacities
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -21,25 +22,43 @@ def test_encoder_equals_tokenizer():
         assert np.frombuffer(found, "<u4").tolist() == tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
-def test_sweeps_place_all_without_overlap():
-    rng = random.Random(3)
-    for _ in range(30):
-        capacity = rng.randint(1, 60)
-        counts = {n: rng.randint(1, 40) for n in rng.sample(range(1, capacity + 1), rng.randint(1, capacity))}
-        held, seen = {}, {n: [] for n in counts}
-        for length, a, b, first, offset in sweeps(counts, capacity):
-            for r in range(a, b):
-                held.setdefault(first + r - a, []).append((offset, length))
-                seen[length].append(r)
-        assert all(sorted(seen[n]) == list(range(c)) for n, c in counts.items())
-        for pieces in held.values():
-            at = 0
-            for offset, length in sorted(pieces):
-                assert offset == at
-                at += length
-            assert at <= capacity
-        total = sum(n * c for n, c in counts.items())
-        assert len(held) <= 1.5 * -(-total // capacity) + 1
+@pytest.mark.parametrize("seed", range(6))
+def test_sweeps_place_all_without_overlap(spark, seed):
+    rng = random.Random(seed)
+    capacity = rng.choice([1, 7, 60, 500])
+    counts = {n: rng.choice([1, 3, 40, 5000]) for n in rng.sample(range(1, capacity + 1), rng.randint(1, min(capacity, 30)))}
+    held, seen = {}, {n: [] for n in counts}
+    for length, a, b, per, first, offset in sweeps(spark, counts, capacity):
+        for r in range(a, b):
+            held.setdefault(first + (r - a) // per, []).append((offset + (r - a) % per * length, length))
+            seen[length].append(r)
+    assert all(sorted(seen[n]) == list(range(c)) for n, c in counts.items())
+    for pieces in held.values():
+        at = 0
+        for offset, length in sorted(pieces):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    assert len(held) <= plain_best_fit(counts, capacity) * 1.02 + 2
+
+
+def plain_best_fit(counts, capacity):
+    """Sequences that best fit by falling length needs, a piece at a time."""
+    gaps = []
+    for length in sorted(counts, reverse=True):
+        for _ in range(counts[length]):
+            k = bisect_left(gaps, length)
+            gap = gaps.pop(k) if k < len(gaps) else capacity
+            insort(gaps, gap - length)
+    return len(gaps)
+
+
+def test_successors_and_rank_matches(spark):
+    classes = spark.createDataFrame([(10, 3), (8, 2)], "length long, left long")
+    gaps = spark.createDataFrame([(9, 0, 1), (8, 5, 4), (7, 9, 1), (12, 20, 9)], "gap long, first long, count long")
+    assert sorted((r["gap"], r["length"], r["ahead"]) for r in successors(classes, gaps).collect()) == [(8, 8, 0), (9, 8, 4), (12, 10, 0)]
+    room = spark.createDataFrame([(20, 0, 2, 2), (10, 7, 1, 1)], "gap long, first long, count long, per long")
+    assert sorted(tuple(r) for r in rank_matches(classes, room).collect()) == [(8, 0, 20, 0, 2, 2, 4), (10, 0, 10, 7, 1, 0, 1), (10, 1, 20, 0, 2, 0, 2)]
 
 
 def test_pack_rows(spark):
