@@ -6,8 +6,8 @@
    ``bucket_rows`` rows or ``max_depth`` is reached. It has at most 2**max_depth entries,
    which bounds what is broadcast. A bucket that is still overfull (one hot key cannot be
    split) gets a chain of overflow pages.
-3. *Owner tasks*: each row goes, with its text, to the task that owns its bucket page, a
-   contiguous range of hash keys. There, rows of equal hash are compared byte by byte
+3. *Owner tasks*: a bucket is a contiguous range of hash keys; each row goes, with its text, to
+   the task that owns its page of its bucket (a task owns several). There, rows of equal hash are compared byte by byte
    (grouping by the text itself), and different texts of one hash are chained.
    Overflow pages of a bucket are merged afterwards, again by bytes.
 4. The index (bucket, hash, chain place, SHA-256, kept id, count) is written to a shared
@@ -112,9 +112,10 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def dedup_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **index) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns; one row of each text."""
+    """The rows of ``docs`` that stay, with all their columns, whatever their names; one row of
+    each text."""
     _, entries = build_index(docs, id_col, text_col, **index)
     stay = entries.select(F.col("keep_id").alias("_k"), F.col("_sha").alias("_s"))
-    keyed = docs.withColumn("_sha_", F.sha2(normalised(F.col(text_col)), 256))
-    kept = keyed.join(stay, keyed[id_col].eqNullSafe(stay["_k"]) & (keyed["_sha_"] == stay["_s"]), "left_semi")
-    return kept.dropDuplicates([id_col, "_sha_"]).drop("_sha_").select(*docs.columns)
+    keyed = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("id"), F.sha2(normalised(F.col(text_col)), 256).alias("sha"))
+    kept = keyed.join(stay, F.col("id").eqNullSafe(F.col("_k")) & (F.col("sha") == F.col("_s")), "left_semi")
+    return kept.dropDuplicates(["id", "sha"]).select("row.*")

@@ -27,7 +27,10 @@ UNDETERMINED = "und"
 
 
 def words(text: str | None) -> list[str]:
-    return WORD.findall((text or "").lower())
+    """Runs of letters (and of what the pattern can't tell from them, such as superscript
+    digits); none where no character is a letter."""
+    found = WORD.findall((text or "").lower())
+    return found if any(map(str.isalpha, found)) or any(c.isalpha() for w in found for c in w) else []
 
 
 def grams(word: str, n: int) -> list[str]:

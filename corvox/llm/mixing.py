@@ -10,6 +10,7 @@
 
 from __future__ import annotations
 
+import logging
 import math
 from collections.abc import Callable
 
@@ -19,7 +20,8 @@ from pyspark.sql import functions as F
 from corvox.llm._shared import materialize
 
 BUCKETS, SMOOTH, EVIDENCE = 1 << 14, 0.5, 32.0
-STEPS, ENOUGH = 40, 1e-3
+STEPS, ENOUGH, PATIENCE, WRITE_EACH = 400, 1e-3, 20, 10
+logger = logging.getLogger(__name__)
 
 
 def _unit(*columns: str | Column) -> Column:
@@ -50,8 +52,6 @@ def classifier(docs: DataFrame, labels: DataFrame, domain: Column, domains: list
     floor = {d: total.get(d, 0) + SMOOTH * BUCKETS for d in domains}
     log = lambda d, n: F.log((n + SMOOTH) / F.lit(floor[d]))
     model = counted.where("_b is not null").groupBy("_b").agg(*(log(d, F.coalesce(F.sum(F.when(F.col("_domain") == d, F.col("n"))), F.lit(0))).alias(f"_w{k}") for k, d in enumerate(domains)))
-
-
     unseen = {d: math.log(SMOOTH / floor[d]) for d in domains}
     prior = {d: math.log((n_rows.get(d, 0) + 1) / (all_rows + len(domains))) for d in domains}
     return model, unseen, prior
@@ -72,9 +72,20 @@ def posteriors(docs: DataFrame, model: DataFrame, unseen: dict[str, float], prio
     return raised.select("_id", "tokens", *((F.col(f"_e{k}") / sum(F.col(f"_e{j}") for j in range(len(domains)))).alias(f"p{k}") for k in range(len(domains))))
 
 
-def fit_rates(table: DataFrame, shares: list[float], budget: float, low: float, high: float) -> tuple[Column, list[float]]:
-    """(rate as an expression on p0.., expected totals): projected gradient descent from the
-    rate that spends ``budget``. ``table`` must be a written one."""
+def _total(x: Column) -> Column:
+    """A sum that doesn't depend on the order of rows: of whole 65,536ths."""
+    return F.sum((x * 65536.0).cast("long").cast("decimal(20,0)")) / 65536
+
+
+def fit_rates(table: DataFrame, shares: list[float], budget: float, low: float, high: float) -> tuple[DataFrame, list[float], list[float]]:
+    """(``table`` with ``rate``, expected totals, targets): projected gradient descent from the rate
+    that spends ``budget``. ``table`` must be a written one.
+
+    A step moves one number a domain. It ends where all totals are within ``ENOUGH`` of their
+    targets, or where ``PATIENCE`` steps have lowered the squared error by less than a
+    thousandth: then the box doesn't admit the targets (or is within STEPS of doing so). Rates
+    are written every ``WRITE_EACH`` steps, so that a step's work doesn't grow.
+    """
     k = len(shares)
     target = [max(s * budget, 1.0) for s in shares]
     each = [[F.sum(F.col("tokens") * F.col(f"p{i}") * F.col(f"p{j}")).alias(f"m{i}_{j}") for j in range(k)] for i in range(k)]
@@ -86,45 +97,57 @@ def fit_rates(table: DataFrame, shares: list[float], budget: float, low: float,
         vector = [sum(m * v for m, v in zip(row, vector, strict=True)) for row in matrix]
         size = max(map(abs, vector)) or 1.0
         vector = [v / size for v in vector]
+    size = float(f"{size:.6g}")  # sums of doubles differ in their last digits from run to run
     clip: Callable[[Column], Column] = lambda c: F.greatest(F.lit(low), F.least(F.lit(high), c))
-    rate = F.lit(min(high, max(low, budget / total if total else low)))
-    reached = [0.0] * k
+    table = table.withColumn("rate", F.lit(min(high, max(low, budget / total if total else low))))
+    errors: list[float] = []
     for step in range(STEPS + 1):
-        sums = table.agg(*(F.sum(F.col("tokens") * F.col(f"p{i}") * rate).alias(f"y{i}") for i in range(k))).first()
+        sums = table.agg(*(_total(F.col("tokens") * F.col(f"p{i}") * F.col("rate")).alias(f"y{i}") for i in range(k))).first()
         reached = [float(sums[f"y{i}"] or 0) for i in range(k)]
         off = [y / t - 1 for y, t in zip(reached, target, strict=True)]
-        if step == STEPS or max(map(abs, off)) < ENOUGH:
+        errors.append(sum(x * x for x in off))
+        if step == STEPS or max(map(abs, off)) < ENOUGH or (step >= PATIENCE and errors[-1] > 0.999 * errors[-1 - PATIENCE]):
             break
-        rate = clip(rate - sum(F.col(f"p{i}") * F.lit(off[i] / target[i] / size) for i in range(k)))
-    return rate, reached
+        table = table.withColumn("rate", clip(F.col("rate") - sum(F.col(f"p{i}") * F.lit(off[i] / target[i] / size) for i in range(k))))
+        if step % WRITE_EACH == WRITE_EACH - 1:
+            table = materialize(table, "mix-rates")
+    return table, reached, target
 
 
-def mixing_rates(docs: DataFrame, labels: DataFrame, domain: Column, targets: dict[str, float], budget: float = 1.0, low: float = 0.0, high: float = 4.0, id_col: str = "doc_id", text_col: str = "text", labelled_rows: int = 10_000) -> DataFrame:
+def mixing_rates(docs: DataFrame, labels: DataFrame, domain: Column, targets: dict[str, float], budget: float = 1.0, low: float = 0.0, high: float = 4.0, id_col: str = "doc_id", text_col: str = "text", labelled_rows: int = 10_000, totals: dict | None = None) -> DataFrame:
     """One row per row of ``docs``: id, tokens, p_<domain> for each, rate, copies.
 
     ``domain`` names the domain of a row of ``labels``; rows whose domain isn't among
     ``targets`` (or is null) are not learned from. ``targets`` are weights of the mixture's
     tokens, ``budget`` its size as a multiple of the tokens there are. Rates lie between
     ``low`` and ``high``; ``copies`` rounds a rate up or down by a hash of the id, so that it
-    is the rate on average. If the box doesn't admit the targets, the nearest totals are
-    reached. The classifier's fit is bounded by ``labelled_rows``; everything else covers all
-    rows and whole texts. Null and empty texts have no tokens and the priors as posteriors.
-    Repeated rows are weighed each for itself. With no labelled row all domains are alike.
-    An empty table gives no rows. Other columns are not read.
+    is the rate on average. If the box doesn't admit the targets, the fit ends near the closest
+    totals, and a warning is logged for each domain over 1 % off; ``totals``, if given, gets
+    (reached, target) by domain. The classifier's fit is bounded by ``labelled_rows``; everything
+    else covers all rows and whole texts. Null and empty texts have no tokens and the priors as
+    posteriors. Repeated rows are weighed each for itself, rows of equal posteriors get equal
+    rates. With no labelled row all domains are alike. An empty table gives no rows. Other
+    columns are not read.
     """
     domains = sorted(targets)
     model, unseen, prior = classifier(docs, labels, domain, domains, id_col, text_col, labelled_rows)
     table = materialize(posteriors(docs, model, unseen, prior, id_col, text_col), "mix-posteriors")
     weight = sum(targets.values())
     tokens = float(table.agg(F.sum("tokens")).first()[0] or 0)
-    rate, _ = fit_rates(table, [targets[d] / weight for d in domains], budget * tokens, low, high)
-    rated = table.select(F.col("_id").alias(id_col), "tokens", *(F.col(f"p{k}").alias(f"p_{d}") for k, d in enumerate(domains)), rate.alias("rate"))
+    table, reached, target = fit_rates(table, [targets[d] / weight for d in domains], budget * tokens, low, high)
+    for d, y, t in zip(domains, reached, target, strict=True):
+        if totals is not None:
+            totals[d] = y, t
+        if tokens and abs(y / t - 1) > 0.01:
+            logger.warning("mixing: domain %s gets %.0f expected tokens, its target is %.0f", d, y, t)
+    rated = table.select(F.col("_id").alias(id_col), "tokens", *(F.col(f"p{k}").alias(f"p_{d}") for k, d in enumerate(domains)), "rate")
     return rated.withColumn("copies", (F.floor("rate") + (_unit(F.lit("copies"), id_col) < F.col("rate") - F.floor("rate")).cast("int")).cast("int"))
 
 
 def mix(docs: DataFrame, labels: DataFrame, domain: Column, targets: dict[str, float], id_col: str = "doc_id", **fit) -> DataFrame:
-    """The rows of ``docs``, each as often as its copies say; rows that share an id share
-    their smallest number of copies."""
-    rates = mixing_rates(docs, labels, domain, targets, id_col=id_col, **fit).groupBy(F.col(id_col).alias("_mixed")).agg(F.min("copies").alias("_copies"))
-    joined = docs.join(rates, F.col(id_col).eqNullSafe(F.col("_mixed"))).where("_copies > 0")
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+    """The rows of ``docs`` with all their columns, whatever their names, each as often as its
+    copies say; rows that share an id share their smallest number of copies."""
+    rates = mixing_rates(docs, labels, domain, targets, id_col=id_col, **fit).groupBy(F.col(id_col).alias("mixed")).agg(F.min("copies").alias("copies"))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("id"))
+    joined = rows.join(rates, F.col("id").eqNullSafe(F.col("mixed"))).where("copies > 0")
+    return joined.select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")

@@ -23,8 +23,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def remainder(column: str, n: int) -> Column:
-    """crc32 of the id as text, modulo n."""
-    return F.crc32(F.col(column).cast("string").cast("binary")) % n
+    """crc32 of the id as text, modulo n; -1 for a null id."""
+    return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % n, F.lit(-1))
 
 
 def op1_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:

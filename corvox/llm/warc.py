@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import gzip
 import io
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -21,6 +22,7 @@ KEPT_HEADERS = [
     "connection", "content-encoding", "content-length", "content-md5", "content-range", "content-type",
     "keep-alive", "proxy-authenticate", "proxy-authorization", "te", "trailer", "transfer-encoding", "upgrade",
 ]
+SPAN = 1024
 RECORD = T.StructType([
     T.StructField("record_id", T.StringType()), T.StructField("type", T.StringType()), T.StructField("url", T.StringType()),
     T.StructField("date", T.StringType()), T.StructField("profile", T.StringType()), T.StructField("status", T.IntegerType()),
@@ -40,9 +42,17 @@ def _fields(block: bytes) -> dict[str, str]:
 
 
 def parse_warc(data: bytes) -> Iterator[tuple]:
-    """Records of a WARC file's bytes, plain or gzipped a record at a time. What isn't a
-    record (a broken tail) ends the file."""
+    """Records of a WARC file's bytes, plain or gzipped a record at a time. What isn't a whole
+    record ends the file: other text, a length that is no number, a block or a compressed
+    stream that is cut off. The records before it are kept."""
     stream = io.BufferedReader(gzip.GzipFile(fileobj=io.BytesIO(data)) if data[:2] == b"\x1f\x8b" else io.BytesIO(data))
+    try:
+        yield from _records(stream)
+    except (EOFError, gzip.BadGzipFile, zlib.error):
+        return
+
+
+def _records(stream: io.BufferedReader) -> Iterator[tuple]:
     while True:
         line = stream.readline()
         while line in (b"\r\n", b"\n"):
@@ -53,7 +63,12 @@ def parse_warc(data: bytes) -> Iterator[tuple]:
         while (line := stream.readline()) not in (b"\r\n", b"\n", b""):
             head += line
         named = _fields(head)
-        block = stream.read(int(named.get("content-length", 0)))
+        length = named.get("content-length", "0")
+        if not (length.isascii() and length.isdigit()):
+            return
+        block = stream.read(int(length))
+        if len(block) < int(length):
+            return
         status, headers, body = None, {}, block
         if block.startswith(b"HTTP/"):
             top, _, body = block.partition(b"\r\n\r\n")
@@ -126,11 +141,13 @@ def resolve_revisits(records: DataFrame, time_col: str, id_col: str = "record_id
     ``unchecked`` (no validator in common); ``orphan`` (no earlier response). Merged headers
     are given for ``merged`` and ``unchecked``: the response's, overlaid by the revisit's but
     for ``KEPT_HEADERS``. Null urls, times or ids make a revisit an orphan, and such a
-    response is no source. Repeated rows are resolved each for itself.
+    response is no source. Repeated rows are resolved each for itself; of responses alike in URL,
+    time and id the one whose headers come last in order counts. Very long URLs and headers
+    are taken whole. An empty table gives no rows, and other columns are not read.
 
-    The join is in two steps, so that no URL's records need to come into one task: the
-    latest response of each (URL, ``bucket`` of time) is carried forward over buckets, and
-    records are ordered within their bucket only.
+    The join is in steps, so that no URL's records need to come into one task: records are
+    ordered within their (URL, ``bucket`` of time) only; the latest response of each bucket is
+    carried forward within ``SPAN`` buckets, and that of each span over spans.
     """
     when = F.col(time_col).cast("long")
     base = records.select(
@@ -140,19 +157,18 @@ def resolve_revisits(records: DataFrame, time_col: str, id_col: str = "record_id
         F.coalesce("headers", F.create_map().cast("map<string,string>")).alias("_headers"),
     ).where("_full or _revisit")
     found = F.when(F.col("_full"), F.struct("_t", "_id"))
-    carried = (
-        base.where("_full").groupBy("_url", "_bucket").agg(F.max(F.struct("_t", "_id")).alias("_last"))
-    )
-    asked = base.where("_revisit").select("_url", "_bucket").distinct()
-    before = (
-        asked.join(carried, ["_url", "_bucket"], "full_outer")
-        .withColumn("_before", F.max("_last").over(Window.partitionBy("_url").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)))
-        .select("_url", "_bucket", "_before")
-    )
+    able = base.where("_url is not null and _bucket is not null")
+    last = able.groupBy("_url", "_bucket").agg(F.max(found).alias("_last"), F.max("_revisit").alias("_asked")).withColumn("_span", F.floor(F.col("_bucket") / SPAN))
+    earlier = lambda *by, order: F.max("_last").over(Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1))
+    spans = last.groupBy("_url", "_span").agg(F.max("_last").alias("_last")).select("_url", "_span", earlier("_url", order="_span").alias("_far"))
+    near = last.select("_url", "_bucket", "_span", "_asked", earlier("_url", "_span", order="_bucket").alias("_near")).where("_asked")
+    before = near.join(spans, ["_url", "_span"]).select("_url", "_bucket", F.coalesce("_near", "_far").alias("_before"))
     within = Window.partitionBy("_url", "_bucket").orderBy("_t").rangeBetween(Window.unboundedPreceding, -1)
-    latest = base.select("_id", "_url", "_bucket", "_t", "_revisit", "_headers", F.max(found).over(within).alias("_own")).where("_revisit")
-    pointed = latest.join(before, ["_url", "_bucket"], "left").withColumn("_source", F.coalesce("_own", "_before"))
-    sources = base.where("_full").groupBy(F.col("_url").alias("_su"), F.struct("_t", "_id").alias("_sk")).agg(F.first("_headers").alias("_old"))
+    latest = able.select("_id", "_url", "_bucket", "_headers", "_revisit", F.max(found).over(within).alias("_own")).where("_revisit")
+    pointed = latest.join(before, ["_url", "_bucket"], "left").select("_id", "_url", "_headers", F.coalesce("_own", "_before").alias("_source"))
+    lost = base.where("_revisit and (_url is null or _bucket is null)").select("_id", "_url", "_headers", F.lit(None).cast(pointed.schema["_source"].dataType).alias("_source"))
+    pointed = pointed.union(lost)
+    sources = able.where("_full").groupBy(F.col("_url").alias("_su"), F.struct("_t", "_id").alias("_sk")).agg(F.max_by("_headers", F.array_sort(F.map_entries("_headers"))).alias("_old"))
     joined = pointed.join(sources, (F.col("_url") == F.col("_su")) & (F.col("_source") == F.col("_sk")), "left")
 
     tag, old_tag = weak(header(F.col("_headers"), "etag")), weak(header(F.col("_old"), "etag"))
