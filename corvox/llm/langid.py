@@ -113,7 +113,7 @@ def labelled_sample(docs: DataFrame, text_col: str, lang_col: str, id_col: str,
     share = F.lit(0.0)
     for lang, n in counts.items():
         share = F.when(F.col("_lang") == lang, F.lit(min(1.0, rows_per_lang / n))).otherwise(share)
-    return sorted((r["_lang"], r["_text"]) for r in rows.where(unit < share).select("_lang", "_text").collect())
+    return sorted((r["_lang"], r["_text"]) for r in rows.where(unit < share).select("_lang", "_text").distinct().collect())
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", held_out: Column | None = None, rows_per_lang: int = 400) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from corvox.llm._shared import materialize
 
 BUCKETS, SMOOTH, EVIDENCE = 1 << 14, 0.5, 32.0
-STEPS, ENOUGH, PATIENCE, WRITE_EACH = 400, 1e-3, 20, 10
+STEPS, ENOUGH, STILL, PATIENCE, WRITE_EACH = 400, 1e-3, 1e-3, 10, 5
 logger = logging.getLogger(__name__)
 
 
@@ -78,13 +78,13 @@ def _total(x: Column) -> Column:
 
 
 def fit_rates(table: DataFrame, shares: list[float], budget: float, low: float, high: float) -> tuple[DataFrame, list[float], list[float]]:
-    """(``table`` with ``rate``, expected totals, targets): projected gradient descent from the rate
-    that spends ``budget``. ``table`` must be a written one.
+    """(``table`` with ``rate``, expected totals, targets): projected gradient descent, with momentum,
+    from the rate that spends ``budget``. ``table`` must be a written one.
 
-    A step moves one number a domain. It ends where all totals are within ``ENOUGH`` of their
-    targets, or where ``PATIENCE`` steps have lowered the squared error by less than a
-    thousandth: then the box doesn't admit the targets (or is within STEPS of doing so). Rates
-    are written every ``WRITE_EACH`` steps, so that a step's work doesn't grow.
+    A step moves two numbers a domain. It ends where all totals are within ``ENOUGH`` of their
+    targets, or where none has moved by more than ``STILL`` in ``PATIENCE`` steps: then the box
+    doesn't admit the targets. Rates are written every ``WRITE_EACH`` steps, so that a step's
+    work doesn't grow.
     """
     k = len(shares)
     target = [max(s * budget, 1.0) for s in shares]
@@ -99,16 +99,24 @@ def fit_rates(table: DataFrame, shares: list[float], budget: float, low: float,
         vector = [v / size for v in vector]
     size = float(f"{size:.6g}")  # sums of doubles differ in their last digits from run to run
     clip: Callable[[Column], Column] = lambda c: F.greatest(F.lit(low), F.least(F.lit(high), c))
-    table = table.withColumn("rate", F.lit(min(high, max(low, budget / total if total else low))))
-    errors: list[float] = []
+    even = F.lit(min(high, max(low, budget / total if total else low)))
+    table = table.withColumns({"rate": even, "ahead": even})
+    totals: list[list[float]] = []
+    momentum, error = 0, math.inf
     for step in range(STEPS + 1):
-        sums = table.agg(*(_total(F.col("tokens") * F.col(f"p{i}") * F.col("rate")).alias(f"y{i}") for i in range(k))).first()
-        reached = [float(sums[f"y{i}"] or 0) for i in range(k)]
+        at = [_total(F.col("tokens") * F.col(f"p{i}") * F.col(c)).alias(f"{c}{i}") for c in ("rate", "ahead") for i in range(k)]
+        sums = table.agg(*at).first()
+        reached, beyond = ([float(sums[f"{c}{i}"] or 0) for i in range(k)] for c in ("rate", "ahead"))
         off = [y / t - 1 for y, t in zip(reached, target, strict=True)]
-        errors.append(sum(x * x for x in off))
-        if step == STEPS or max(map(abs, off)) < ENOUGH or (step >= PATIENCE and errors[-1] > 0.999 * errors[-1 - PATIENCE]):
+        totals.append(reached)
+        still = step >= PATIENCE and max(abs(y - x) / max(y, 1.0) for x, y in zip(totals[-1 - PATIENCE], reached, strict=True)) < STILL
+        if step == STEPS or max(map(abs, off)) < ENOUGH or still:
             break
-        table = table.withColumn("rate", clip(F.col("rate") - sum(F.col(f"p{i}") * F.lit(off[i] / target[i] / size) for i in range(k))))
+        momentum = momentum + 1 if sum(x * x for x in off) < error else 0
+        error = sum(x * x for x in off)
+        pull = [(y / t - 1) / t / size for y, t in zip(beyond, target, strict=True)]
+        moved = table.withColumn("next", clip(F.col("ahead") - sum(F.col(f"p{i}") * F.lit(pull[i]) for i in range(k))))
+        table = moved.withColumn("ahead", F.col("next") + momentum / (momentum + 3) * (F.col("next") - F.col("rate"))).withColumn("rate", F.col("next")).drop("next")
         if step % WRITE_EACH == WRITE_EACH - 1:
             table = materialize(table, "mix-rates")
     return table, reached, target

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corvox.llm._shared import small_batches
+from corvox.llm._shared import free_name, small_batches
 
 STRIP = ".,;:!?\"'()[]{}|*#$%&-_/\\<>+=~^`"
 BITS, DIM, SCALE = 17, 8, 60.0
@@ -158,7 +158,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: s
     for label, n in counts.items():
         share = F.when(F.col("_y") == label, F.lit(min(1.0, bounds[label] / n))).otherwise(share)
     chosen = F.broadcast(usable_labels.where(unit < share))  # about as many ids as the bounds say
-    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(chosen, "_id").select("_id", "_text", "_y").collect()
+    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(chosen, "_id").select("_id", "_text", "_y").distinct().collect()
     return sorted(rows, key=lambda r: (r["_id"], r["_y"], r["_text"] or ""))
 
 
@@ -179,17 +179,15 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     model = docs.sparkSession.sparkContext.broadcast((model.astype(np.float32), bias))  # 2**17 numbers
 
     names = [c for c in docs.columns if c not in ("score", "predicted")]
-    source = docs.select(*names, F.col(text_col).alias("_scored")) if text_col not in names else docs.select(*names)
-    at = "_scored" if text_col not in names else text_col
+    at = names.index(text_col) if text_col in names else len(names)
+    source = docs.select(*names, *([] if text_col in names else [F.col(text_col).alias(free_name("text", docs))]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(*model.value)
         for batch in batches:
-            column = batch.column(batch.schema.get_field_index(at))
-            scores = list(scorer.score(column.to_pylist()))
+            scores = list(scorer.score(batch.column(at).to_pylist()))
             score, predicted = pa.array(scores, pa.float64()), pa.array([int(s >= 0.5) for s in scores], pa.int32())
-            keep = [i for i, n in enumerate(batch.schema.names) if n != "_scored"]
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in keep), score, predicted], names=[*(batch.schema.names[i] for i in keep), "score", "predicted"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], score, predicted], names=[*names, "score", "predicted"])
 
     schema = docs.select(*names).withColumn("score", F.lit(0.0)).withColumn("predicted", F.lit(0)).schema
     return source.mapInArrow(run, schema)

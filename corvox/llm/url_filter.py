@@ -159,7 +159,7 @@ def filter_urls(pages: DataFrame, rules: list[tuple[str, str]], id_col: str = "p
     """One row per row of ``pages``: id, host, path, rule, verdict and, where no rule decides, score.
 
     ``rules`` are (``block`` or ``allow``, ``host/path``). The trees are fitted on at most about
-    ``labelled_rows`` of the URLs that a rule decides, chosen by a hash of the id; with no such
+    ``labelled_rows`` of the URLs that a rule decides, chosen by a hash of the id, each once; with no such
     URL, or one verdict among them, all others get that verdict (``allow`` if there is none). Null
     URLs and those without ``://`` have empty host and path and fit no rule. Repeated rows
     are judged alike, null ids pass through, other columns are not read.
@@ -170,7 +170,7 @@ def filter_urls(pages: DataFrame, rules: list[tuple[str, str]], id_col: str = "p
     known = ruled.where(F.col("_rule").isNotNull()).select("_id", "_url", (F.col("_rule.verdict") == "block").cast("int").alias("_y"))
     share = min(1.0, labelled_rows / max(1, known.count()))
     unit = F.pmod(F.xxhash64(F.lit("urls"), F.col("_id"), F.col("_url")), F.lit(1_000_003)) / F.lit(1_000_003.0)
-    sample = sorted((r["_url"], r["_y"]) for r in known.where(unit < share).select("_url", "_y").collect())
+    sample = sorted((r["_url"], r["_y"]) for r in known.where(unit < share).select("_url", "_y").distinct().collect())
     model = pages.sparkSession.sparkContext.broadcast(fit([u for u, _ in sample], [y for _, y in sample]))
 
     names = ["_id", "host", "path", "rule", "_ruled", "_url"]

@@ -7,7 +7,6 @@ response's, and the headers that a 304 may update are merged over the response's
 
 from __future__ import annotations
 
-import gzip
 import io
 import zlib
 from collections.abc import Iterator
@@ -41,18 +40,38 @@ def _fields(block: bytes) -> dict[str, str]:
     return out
 
 
+class Inflated(io.RawIOBase):
+    """What can be read of gzip members one after another; it ends where they are broken."""
+
+    def __init__(self, data: bytes):
+        self.rest, self.member = data, None
+
+    def readable(self) -> bool:
+        return True
+
+    def readinto(self, buffer) -> int:
+        while self.rest:
+            self.member = self.member or zlib.decompressobj(31)
+            try:
+                part = self.member.decompress(self.rest, len(buffer))
+            except zlib.error:
+                self.rest = b""
+                break
+            if self.member.eof:
+                self.rest, self.member = self.member.unused_data, None
+            else:
+                self.rest = self.member.unconsumed_tail
+            if part:
+                buffer[: len(part)] = part
+                return len(part)
+        return 0
+
+
 def parse_warc(data: bytes) -> Iterator[tuple]:
     """Records of a WARC file's bytes, plain or gzipped a record at a time. What isn't a whole
     record ends the file: other text, a length that is no number, a block or a compressed
     stream that is cut off. The records before it are kept."""
-    stream = io.BufferedReader(gzip.GzipFile(fileobj=io.BytesIO(data)) if data[:2] == b"\x1f\x8b" else io.BytesIO(data))
-    try:
-        yield from _records(stream)
-    except (EOFError, gzip.BadGzipFile, zlib.error):
-        return
-
-
-def _records(stream: io.BufferedReader) -> Iterator[tuple]:
+    stream = io.BufferedReader(Inflated(data)) if data[:2] == b"\x1f\x8b" else io.BytesIO(data)
     while True:
         line = stream.readline()
         while line in (b"\r\n", b"\n"):
@@ -62,8 +81,10 @@ def _records(stream: io.BufferedReader) -> Iterator[tuple]:
         head = b""
         while (line := stream.readline()) not in (b"\r\n", b"\n", b""):
             head += line
+        if not line:
+            return
         named = _fields(head)
-        length = named.get("content-length", "0")
+        length = named.get("content-length", "")
         if not (length.isascii() and length.isdigit()):
             return
         block = stream.read(int(length))
