@@ -12,6 +12,7 @@ from __future__ import annotations
 import math
 from array import array
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from itertools import filterfalse
 
 import numpy as np
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from corvox.llm._shared import free_name, small_batches
 
 STRIP = ".,;:!?\"'()[]{}|*#$%&-_/\\<>+=~^`"
-BITS, DIM, SCALE = 17, 8, 60.0
+BITS, DIM, SCALE, THREADS = 17, 8, 60.0, 4
 BUCKETS = 1 << BITS
 BASE, MIX = np.uint64(0x100000001B3), np.uint64(0x9E3779B97F4A7C15)
 MIN_N, MAX_N = 3, 5
@@ -92,24 +93,31 @@ def train(texts: list[str], labels: list[int], epochs: int = 60, rate: float = 0
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in params]
     target = np.stack([1 - y, y], axis=1)
     doc_vec, by_gram = np.empty((len(y), DIM)), np.empty_like(vectors)
+
+    def forward(d: int) -> None:
+        word_value = np.concatenate([np.bincount(owner, vectors[d][flat], b - a) for flat, owner, a, b in blocks]) / per_word
+        doc_vec[:, d] = np.bincount(doc_of, word_value[doc_words], len(y)) * share
+
+    def backward(d: int) -> None:
+        g_word = np.bincount(doc_words, g_doc[:, d][doc_of], len(per_word)) / per_word
+        by_gram[d] = decay * vectors[d]
+        for flat, owner, a, b in blocks:
+            by_gram[d] += np.bincount(flat, g_word[a:b][owner], BUCKETS)
+
+    pool = ThreadPoolExecutor(THREADS)  # dimensions are worked on side by side; each one's sums keep their order
     for step in range(1, epochs + 1):
-        for d in range(DIM):
-            word_value = np.concatenate([np.bincount(owner, vectors[d][flat], b - a) for flat, owner, a, b in blocks]) / per_word
-            doc_vec[:, d] = np.bincount(doc_of, word_value[doc_words], len(y)) * share
+        list(pool.map(forward, range(DIM)))
         logits = doc_vec @ softmax + bias
         p = np.exp(logits - logits.max(axis=1, keepdims=True))
         p /= p.sum(axis=1, keepdims=True)
         g = (p - target) * weight[:, None]
         g_doc = g @ softmax.T * share[:, None]
-        for d in range(DIM):
-            g_word = np.bincount(doc_words, g_doc[:, d][doc_of], len(per_word)) / per_word
-            by_gram[d] = decay * vectors[d]
-            for flat, owner, a, b in blocks:
-                by_gram[d] += np.bincount(flat, g_word[a:b][owner], BUCKETS)
+        list(pool.map(backward, range(DIM)))
         for param, grad, (m, v) in zip(params, [by_gram, doc_vec.T @ g, g.sum(axis=0)], moments, strict=True):
             m += 0.1 * (grad - m)
             v += 0.01 * (grad * grad - v)
             param -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
+    pool.shutdown()
     scores = (softmax[:, 1] - softmax[:, 0]) @ vectors * SCALE
     return scores, float(bias[1] - bias[0])
 
