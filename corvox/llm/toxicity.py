@@ -155,19 +155,31 @@ class Scorer(dict):
                 yield 1 / (1 + math.exp(-min(30.0, max(-30.0, margin))))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, usable: Column, bounds: dict[int, int]) -> list:
-    """At most about ``bounds[y]`` rows of class y, chosen by a hash of the id."""
+def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, usable: Column, bounds: dict[int, int]) -> DataFrame | None:
+    """At most about ``bounds[y]`` rows (_id, _text, _y) of class y, chosen by a hash of the id."""
     usable_labels = labels.where(F.col(label_col).isin(0, 1) & usable).select(F.col(id_col).alias("_id"), F.col(label_col).alias("_y")).distinct()
     counts = {r["_y"]: r["count"] for r in usable_labels.groupBy("_y").count().collect()}
     if not counts:
-        return []
+        return None
     unit = F.pmod(F.xxhash64(F.lit("toxicity"), F.col("_id")), F.lit(1_000_003)) / F.lit(1_000_003.0)
     share = F.lit(0.0)
     for label, n in counts.items():
         share = F.when(F.col("_y") == label, F.lit(min(1.0, bounds[label] / n))).otherwise(share)
     chosen = F.broadcast(usable_labels.where(unit < share))  # about as many ids as the bounds say
-    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(chosen, "_id").select("_id", "_text", "_y").distinct().collect()
-    return sorted(rows, key=lambda r: (r["_id"], r["_y"], r["_text"] or ""))
+    return docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(chosen, "_id").select("_id", "_text", "_y").distinct()
+
+
+def trained(sample: DataFrame, training: dict) -> tuple[np.ndarray, float]:
+    """``train`` in one task, which holds the sample; the driver gets the model alone."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [row for batch in batches for row in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True)]
+        rows.sort(key=lambda r: (r[0], r[2], r[1] or ""))
+        scores, bias = train([text for _, text, _ in rows], [y for _, _, y in rows], **training)
+        yield pa.RecordBatch.from_arrays([pa.array([scores.astype(np.float32).tobytes()], pa.binary()), pa.array([bias], pa.float64())], names=["scores", "bias"])
+
+    row = sample.repartition(1).mapInArrow(run, "scores binary, bias double").first()
+    return train([], []) if row is None else (np.frombuffer(bytes(row["scores"]), np.float32), row["bias"])
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", held_out: Column | None = None, rows_toxic: int = 1000, rows_clean: int = 2000, **training) -> DataFrame:
@@ -183,8 +195,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     small_batches(docs.sparkSession)
     usable = F.col(id_col).isNotNull() & (F.lit(True) if held_out is None else ~held_out)
     sample = labelled_sample(docs, labels, id_col, text_col, label_col, usable, {1: rows_toxic, 0: rows_clean})
-    model, bias = train([r["_text"] for r in sample], [r["_y"] for r in sample], **training)
-    model = docs.sparkSession.sparkContext.broadcast((model.astype(np.float32), bias))  # 2**17 numbers
+    scores, bias = train([], []) if sample is None else trained(sample, training)
+    model = docs.sparkSession.sparkContext.broadcast((scores.astype(np.float32), bias))  # 2**17 numbers
 
     names = [c for c in docs.columns if c not in ("score", "predicted")]
     at = names.index(text_col) if text_col in names else len(names)
