@@ -197,6 +197,7 @@ def sweeps(spark: SparkSession, counts: dict[int, int], capacity: int) -> list[t
     small = spark.newSession()  # its tables have some rows a length: no need to plan for large ones
     small.conf.set("spark.sql.adaptive.enabled", "false")
     small.conf.set("spark.sql.codegen.wholeStage", "false")
+    small.conf.set("spark.sql.codegen.factoryMode", "NO_CODEGEN")
     left, done, gaps = dict(counts), dict.fromkeys(counts, 0), []
     places: list[tuple[int, int, int, int, int, int]] = []
     opened = -(-sum(n * k for n, k in left.items()) // capacity)
