@@ -12,7 +12,8 @@
   groups by hash range. Where a shingle is met, the groups that share it form a list;
   a list that another shingle has given already is not given again.
 * *Group pairs.* In each list, sorted by size, groups are paired with a pivot (sizes
-  permitting), one pair a group and not all pairs. Pairs are expanded to their classes,
+  permitting), one pair a group and not all pairs; pivots form a tree, so that none has
+  all of a list. Pairs are expanded to their classes,
   filtered by a parity bitmap (its Hamming distance is at most the size of the symmetric
   difference, so no link is lost), verified on whole sets, and joined to components.
 * *The rest.* Then the classes of a list that still lie in different components are compared,
@@ -167,6 +168,19 @@ def prefixes(texts: DataFrame, table: np.ndarray, size: int, pct: int, parts: in
     return texts.mapInArrow(run, "part int, shingles binary, groups binary, sizes binary, _id long, n int, h1 long, h2 long, g long, bits binary")
 
 
+def parent(k: int, width: int = 64) -> int:
+    """The place that place k > 0 of a list is tried with: k without its last digit that isn't
+    zero, to the base ``width``, so that no place has many more than ``width`` after it.
+
+    >>> [parent(k) for k in (1, 63, 64, 70, 4096, 4160)]
+    [0, 0, 0, 64, 0, 4096]
+    """
+    step = 1
+    while k // step % width == 0:
+        step *= width
+    return k - k // step % width * step
+
+
 def group_lists(packed: DataFrame, pct: int) -> DataFrame:
     """(list, g, n, place, pivot): groups that share a prefix shingle. place: a lower bound of its
     place in the group's prefix. pivot: the group of the list to try this one with first, or
@@ -222,7 +236,7 @@ def group_lists(packed: DataFrame, pct: int) -> DataFrame:
             pivots, p = [], None
             for at in range(len(gs)):
                 if p is not None and 100 * ms[p] >= pct * ms[at]:
-                    pivots.append(int(gs[p]))
+                    pivots.append(int(gs[parent(at - p) + p]))
                 else:
                     pivots.append(None)
                     p = at
