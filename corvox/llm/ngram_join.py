@@ -433,7 +433,7 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     roots = components(settled)
 
     named = classes.select("u", "h1", "h2", "first_id").join(roots, F.col("u") == F.col("node"), "left").withColumn("root", F.coalesce("root", "u"))
-    names = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    names = materialize(named.groupBy("root").agg(F.min("first_id").alias("component_id")), "join-names")  # written, so that a hot root's join can be split
     by_class = named.join(names, "root").select("h1", "h2", "component_id")
     return rows.join(by_class, ["h1", "h2"], "left").select(
         F.col("_id").alias(id_col), F.col("n").cast("long").alias("n_shingles"), F.coalesce("component_id", F.col("_id")).alias("component_id")
