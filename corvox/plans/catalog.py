@@ -6,10 +6,12 @@ doubles at six places.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corvox.functions import signal as S
 from corvox.functions import text as X
@@ -25,8 +27,9 @@ from corvox.operators import timing as W
 from corvox.operators import verdict as V
 from corvox.plans import fixtures as X0
 from corvox.plans.fixtures import CLIPS, EVALUATED, EXACT, LINES, PAIRS, RECORDINGS, SCORED, SERIES, TURNS, clips, evaluated, lines, pairs, recordings, scored, series, table, turns
-from corvox.sources.readers import answer_lines, not_done
-from corvox.sources.writers import qc_rows, validation_rows
+from corvox.operators.lifecycle import dry_run, labels_from
+from corvox.sources.readers import answer_lines, not_done, read_checkpoint, read_manifest, read_segments, read_transcriptions, wav_column
+from corvox.sources.writers import append_checkpoint, append_manifest, qc_rows, validation_rows, wav_files, write_manifest
 from corvox.streaming import streams
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -1032,3 +1035,103 @@ def event_sessions(s, d):
 def event_windows(s, d):
     """Tumbling windows, the batch form of the stream."""
     return streams.tumbling(table(s, d, "events"))
+
+
+# -- files and whole runs ---------------------------------------------------------------
+
+
+def place(s, name):
+    """A new folder that all executors see, for tables that a query writes and reads back."""
+    base = s.conf.get("spark.checkpoint.dir", None) or s.sparkContext.getConf().get("spark.checkpoint.dir") or "/tmp/checkpoints"
+    path = f"{base.rstrip('/')}/corvox-{name}-{uuid.uuid4().hex}"
+    there = s.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    there.getFileSystem(s.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(there)
+    return path
+
+
+CLIP_NAMES = "n0 AS (SELECT 'Script_' || conv_id || '_' || lpad(turn::VARCHAR, greatest(4, length(turn::VARCHAR))::INTEGER, '0') || '.wav' AS filename, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS text, conv_id, turn FROM conversations)"
+
+
+def named_turns(s, d):
+    return table(s, d, "conversations").select(X.clip_name(F.col("conv_id"), F.col("turn")).alias("filename"), F.trim(F.regexp_replace("text", r"\s+", " ")).alias("text"), "conv_id", "turn")
+
+
+@register("manifest_round_trip", "filename string, text string, pos long", f"WITH {CLIP_NAMES} FINAL SELECT filename, text, row_number() OVER (ORDER BY filename || '|' || text) AS pos FROM n0")
+def manifest_round_trip(s, d):
+    """Written in order of lines, read back with positions."""
+    path = place(s, "manifest")
+    write_manifest(named_turns(s, d), path)
+    rows = read_manifest(s, path)
+    return rows.withColumn("pos", F.row_number().over(Window.orderBy("pos")))  # what the query shows: the file's whole order
+
+
+@register("appended_manifest", "filename string, text string", f"WITH {CLIP_NAMES} FINAL SELECT filename, text FROM n0")
+def appended_manifest(s, d):
+    """Half the rows are there, all are offered, none comes twice."""
+    path, rows = place(s, "appended"), named_turns(s, d)
+    write_manifest(rows.where("turn % 2 = 0").select("filename", "text"), path)
+    append_manifest(M.only_in(rows.select("filename", "text"), read_manifest(s, path), ["filename"]), path)
+    return read_manifest(s, path)
+
+
+@register("checkpoint_resume", "filename string, again boolean", f"WITH {CLIP_NAMES} FINAL SELECT filename, false AS again FROM n0 WHERE turn % 3 <> 0")
+def checkpoint_resume(s, d):
+    """What is left after a checkpoint of every third turn, and whether any of it is in it."""
+    path, rows = place(s, "checkpoint"), named_turns(s, d).select("filename", "turn")
+    schema = T.StructType([T.StructField("filename", T.StringType())])
+    left = not_done(rows, read_checkpoint(s, path, schema), ["filename"])  # nothing there yet
+    append_checkpoint(left.where("turn % 3 = 0").select("filename"), path)
+    done = read_checkpoint(s, path, schema)
+    return not_done(left, done, ["filename"]).join(done.withColumn("again", F.lit(True)), "filename", "left").na.fill(False, ["again"])
+
+
+@register("stored_tables", "filename string, tier long, text string, seg_idx long, end_s double", f"WITH {CLIP_NAMES} FINAL SELECT filename, turn % 2 + 1 AS tier, CASE WHEN turn % 4 <> 0 THEN text END AS text, turn AS seg_idx, turn * 2.5 AS end_s FROM n0")
+def stored_tables(s, d):
+    """Segments and transcriptions as input tables, null where recognition gave none."""
+    a, b, t = place(s, "segments"), place(s, "transcriptions"), named_turns(s, d)
+    empty = "CAST(NULL AS array<struct<word:string,start:double,end:double>>) AS words"
+    t.selectExpr("filename AS audio_path", "CAST(conv_id AS int) AS script_id", "0 AS file_idx", "CAST(turn AS int) AS seg_idx", "turn * 2.0D AS start_s", "turn * 2.5D AS end_s", "text", empty).write.parquet(a)
+    t.selectExpr("filename", "CAST(turn % 2 + 1 AS int) AS tier", "IF(turn % 4 <> 0, text, NULL) AS prompted_text", "CAST(NULL AS string) AS plain_text").write.parquet(b)
+    segments = read_segments(s, a).select(F.col("audio_path").alias("filename"), "seg_idx", "end_s")
+    return read_transcriptions(s, b).join(segments, "filename").withColumn("text", F.coalesce("prompted_text", "plain_text"))
+
+
+@register("labels_with_errors", "filename string, text string", f"WITH {CLIP_NAMES} FINAL SELECT filename, CASE WHEN turn % 4 <> 0 THEN text ELSE '[ERROR: no transcription]' END AS text FROM n0")
+def labels_with_errors(s, d):
+    """C12."""
+    t = named_turns(s, d).withColumns({"prompted_text": F.when(F.col("turn") % 4 != 0, F.col("text")), "plain_text": F.lit(None).cast("string")})
+    return labels_from(t, True)
+
+
+@register("wav_round_trip", "vec_id long, n long, far boolean", "FINAL SELECT vec_id, len(embedding) AS n, false AS far FROM embeddings")
+def wav_round_trip(s, d):
+    """Clips as 24-bit WAV bytes, decoded again: no sample is off by more than a step."""
+    t = table(s, d, "embeddings").select("vec_id", F.transform("embedding", lambda x: F.greatest(F.lit(-1.0), F.least(F.lit(0.9999998), x.cast("double")))).alias("samples"))
+    read = t.withColumn("wav", wav_files("samples", F.lit(48_000))).withColumn("again", wav_column("wav")["samples"])
+    gap = F.array_max(F.zip_with("samples", "again", lambda a, b: F.abs(a - b)))
+    return read.select("vec_id", F.size("again").alias("n"), (gap > 2.0**-23).alias("far"))
+
+
+@register("dry_run_plan", "script_id long, recordings long, first_line long, last_line long, lines long", f"WITH {EXACT.replace('{pad}', '650')} FINAL SELECT script_id, max(CASE WHEN n > half THEN 2 ELSE 1 END) AS recordings, 1 AS first_line, max(CASE WHEN n > half THEN last ELSE half END) AS last_line, count_if(line_no <= CASE WHEN n > half THEN last ELSE half END) AS lines FROM x2 WHERE script_id % 2 = 0 GROUP BY script_id")
+def dry_run_plan(s, d):
+    """What a run over every second script would work on."""
+    _, t, files = X0.exact_scripts(s, d)
+    return dry_run(files.where("script_id % 2 = 0"), t)
+
+
+@register("manager_rollup", "script_id long, matched long, skipped long, total_lines long, audio_files long, rate double", f"""WITH {EXACT.replace('{pad}', '650')}, r AS (SELECT script_id, count(*) AS total_lines, max(CASE WHEN n > half THEN 2 ELSE 1 END) AS audio_files, count_if(spoken) AS matched FROM x2 GROUP BY script_id),
+    k AS (SELECT script_id, count_if(line_no < top) AS skipped FROM missed GROUP BY script_id) FINAL SELECT script_id, matched, coalesce(skipped, 0) AS skipped, total_lines, audio_files, round(100.0::DOUBLE * matched / total_lines, 1) AS rate FROM r LEFT JOIN k USING (script_id)""")
+def manager_rollup(s, d):
+    """The manager's result by script."""
+    segments, t, files = X0.exact_scripts(s, d)
+    return R.manager_rollup(A.align(segments, t, files, A.AlignConfig.manager()), t, files)
+
+
+@register("report_over_results", "total long, passed long, failed long, r1_pct double, r2_pct double, r3_pct double, r6_pct double, preattack_mean double, tail_short long", """WITH e AS (SELECT (event_id % 101) / 100.0::DOUBLE AS similarity, event_id % 23 <> 0 AS b, event_id % 29 <> 0 AS v, (380 + event_id % 40)::DOUBLE AS pre, (710 + event_id % 50)::DOUBLE AS tail FROM events)
+    FINAL SELECT count(*) AS total, count_if(similarity >= 0.95 AND b AND v) AS passed, count_if(NOT (similarity >= 0.95 AND b AND v)) AS failed, round(100.0::DOUBLE * count_if(similarity >= 0.95) / count(*), 2) AS r1_pct, round(100.0::DOUBLE * count_if(b) / count(*), 2) AS r2_pct,
+    round(100.0::DOUBLE * count_if(similarity >= 0.95 AND b AND v) / count(*), 2) AS r3_pct, round(100.0::DOUBLE * count_if(v) / count(*), 2) AS r6_pct, avg(pre) AS preattack_mean, count_if(tail < 725) AS tail_short FROM e""")
+def report_over_results(s, d):
+    """G1, G2 alone, over rows that are judged already (events stand in for them)."""
+    n = F.col("event_id")
+    t = table(s, d, "events").select((n % 101 / 100).alias("similarity"), (n % 23 != 0).alias("boundary_pass"), (n % 29 != 0).alias("envelope_pass"), (380 + n % 40).cast("double").alias("preattack_ms"), (710 + n % 50).cast("double").alias("tail_silence_ms"))
+    return R.evaluation_report(t.withColumn("verdict", F.when((F.col("similarity") >= 0.95) & F.col("boundary_pass") & F.col("envelope_pass"), "PASS").otherwise("FAIL")))

@@ -124,6 +124,12 @@ def read_wavs(spark: SparkSession, path: str, mean: bool = False, target: int |
     """Path, sr, samples of WAV files; unreadable files have nulls (failure type E).
     ``target``: the rate to resample to, such as a recogniser's 16,000."""
 
+    return spark.read.format("binaryFile").load(path).select("path", wav_column("content", mean, target).alias("w")).select("path", "w.sr", "w.samples")
+
+
+def wav_column(data: Column | str, mean: bool = False, target: int | None = None) -> Column:
+    """S5, S5b on a column of WAV bytes: struct(sr, samples), nulls where they can't be read."""
+
     @F.pandas_udf("struct<sr: int, samples: array<double>>")
     def run(data: pd.Series) -> pd.DataFrame:
         rows = []
@@ -131,11 +137,11 @@ def read_wavs(spark: SparkSession, path: str, mean: bool = False, target: int |
             try:
                 x, rate = wav_samples(d, mean)
                 rows.append((rate, x) if target is None else (target, band_limited(x, rate, target).astype(np.float64)))
-            except (wave.Error, EOFError, ValueError):
+            except (wave.Error, EOFError, ValueError, TypeError):
                 rows.append((None, None))
         return pd.DataFrame({"sr": pd.array([r for r, _ in rows], "Int32"), "samples": [x for _, x in rows]})
 
-    return spark.read.format("binaryFile").load(path).select("path", run("content").alias("w")).select("path", "w.sr", "w.samples")
+    return run(data)
 
 
 SEGMENTS = ("audio_path string, script_id int, file_idx int, seg_idx int, start_s double, end_s double, text string, words array<struct<word:string,start:double,end:double>>")
