@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corvox.llm._shared import materialize
+
 #: Headers that describe the body sent, which a 304 may not replace, and those of one connection.
 KEPT_HEADERS = [
     "connection", "content-encoding", "content-length", "content-md5", "content-range", "content-type",
@@ -171,12 +173,12 @@ def resolve_revisits(records: DataFrame, time_col: str, id_col: str = "record_id
     carried forward within ``SPAN`` buckets, and that of each span over spans.
     """
     when = F.col(time_col).cast("long")
-    base = records.select(
+    base = materialize(records.select(
         F.col(id_col).alias("_id"), canonical_url(F.col("url")).alias("_url"), when.alias("_t"), F.floor(when / bucket).alias("_bucket"),
         F.coalesce((F.col("type") == "response") & (F.col("status") == 200) & F.col(id_col).isNotNull() & F.col("url").isNotNull() & when.isNotNull(), F.lit(False)).alias("_full"),
         F.coalesce((F.col("type") == "revisit") & (F.col("status") == 304), F.lit(False)).alias("_revisit"),
         F.coalesce("headers", F.create_map().cast("map<string,string>")).alias("_headers"),
-    ).where("_full or _revisit")
+    ).where("_full or _revisit"), "warc-records")
     found = F.when(F.col("_full"), F.struct("_t", "_id"))
     able = base.where("_url is not null and _bucket is not null")
     last = able.groupBy("_url", "_bucket").agg(F.max(found).alias("_last"), F.max("_revisit").alias("_asked")).withColumn("_span", F.floor(F.col("_bucket") / SPAN))
