@@ -39,7 +39,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def mix_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeat until clean and junk tokens stand at the target weights. No rate is
-    below one, so this stage loses no document."""
+    below one, so this stage loses no document; where junk is over a tenth of the tokens, its
+    weight is out of reach of the budget, and the operator logs that."""
     quality = F.when(F.col("quality") == 1, "clean").when(F.col("quality") == 0, "junk")
     return mix(docs, table(spark, sf_dir, "labels"), quality, MIXTURE, budget=BUDGET, low=LEAST, high=MOST)
 
@@ -57,7 +58,7 @@ STAGES = [
     ("packing", pack_sequences),
 ]
 
-#: Trained models, a tokenizer and iterative fits have no SQL; tests compare small runs with plain Python.
+#: Trained models, a tokenizer and iterative fits have no SQL; a test compares each stage over a small table with a plain version.
 ORACLE_SQL = None
 
 
