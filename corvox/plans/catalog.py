@@ -618,8 +618,14 @@ def first_ending(endings):
     return "list_filter([" + ", ".join(f"'{e}'" for e in endings) + "], lambda e: ends_with(text, e))[1]"
 
 
-@register("korean_endings", "doc_id long, longest string, detected string, counted string", f"WITH {KOREAN} FINAL SELECT doc_id, {first_ending(FORMAL_ENDINGS_LONGEST_FIRST)} AS longest, {first_ending(FORMAL_ENDINGS_DETECTOR)} AS detected, {first_ending(FORMAL_ENDINGS_RECOUNT)} AS counted FROM k0")
+@register("korean_endings", "doc_id long, ending string", f"FINAL SELECT doc_id, {first_ending(FORMAL_ENDINGS_RECOUNT)} AS ending FROM documents")
 def korean_endings(s, d):
+    """F10 with the fixed endings: every document's own text."""
+    return table(s, d, "documents").select("doc_id", X.first_suffix(F.col("text"), FORMAL_ENDINGS_RECOUNT).alias("ending"))
+
+
+@register("korean_endings_planted", "doc_id long, longest string, detected string, counted string", f"WITH {KOREAN} FINAL SELECT doc_id, {first_ending(FORMAL_ENDINGS_LONGEST_FIRST)} AS longest, {first_ending(FORMAL_ENDINGS_DETECTOR)} AS detected, {first_ending(FORMAL_ENDINGS_RECOUNT)} AS counted FROM k0")
+def korean_endings_planted(s, d):
     """F10 with the fixed endings in their three orders, on Korean texts."""
     t = F.col("text")
     return korean(s, d).select("doc_id", X.first_suffix(t).alias("longest"), X.first_suffix(t, FORMAL_ENDINGS_DETECTOR).alias("detected"), X.first_suffix(t, FORMAL_ENDINGS_RECOUNT).alias("counted"))
