@@ -1,4 +1,6 @@
 import math
+import random
+import time
 import unicodedata
 
 import pytest
@@ -7,7 +9,7 @@ from pyspark.sql import functions as F
 from corvox.functions import signal as S
 from corvox.functions import text as X
 from corvox.functions.constants import FORMAL_ENDINGS_DETECTOR, FORMAL_ENDINGS_LONGEST_FIRST
-from corvox.functions.similarity import best_of_two, block_ratio, guarded_ratio, missing_suffix, tails_equal, with_edit_similarity, word_membership_score, words_in_blocks
+from corvox.functions.similarity import Second, best_of_two, block_ratio, block_ratio_from, distance, guarded_ratio, missing_suffix, tails_equal, with_edit_similarity, word_membership_score, words_in_blocks
 from corvox.plans.catalog import QUERIES
 
 
@@ -52,6 +54,58 @@ def test_edit_similarity(spark):
     assert [r["dist"] for r in rows] == [3, 0, 1, 1] and [r["cer"] for r in rows] == [3 / 7, 0, 1, 0.5]
 
 
+def plain_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        now = [i]
+        for j, y in enumerate(b, 1):
+            now.append(min(row[j] + 1, now[-1] + 1, row[j - 1] + (x != y)))
+        row = now
+    return row[-1]
+
+
+def changed(r, text, letters):
+    return "".join(c if r.random() < 0.8 else r.choice(["", r.choice(letters), c + c]) for c in text)
+
+
+@pytest.mark.parametrize("letters", ["ab", "abcdefgh", "가나다 a", "etaoinshrdluetaoinxq"])
+def test_distance_equals_plain(letters):
+    r = random.Random(5)
+    for _ in range(300):
+        a = "".join(r.choices(letters, k=r.randrange(40)))
+        b = "".join(r.choices(letters, k=r.randrange(40))) if r.random() < 0.4 else changed(r, a, letters)
+        d, most = plain_distance(a, b), r.randrange(30)
+        assert distance(a, b) == d and distance(a, b, most) == (d if d <= most else -1)
+
+
+def test_long_distances_are_quick():
+    """20,000 characters against as many: a full table has 400 million cells."""
+    r = random.Random(6)
+    text = "".join(r.choices("etaoinshrdlu", k=20_000))
+    began = time.time()
+    assert distance(text, "".join(c for k, c in enumerate(text) if k % 3)) == 6667
+    assert 0 < distance(text, changed(r, text, "abc")) < 8000
+    assert time.time() - began < 20
+
+
+@pytest.mark.parametrize("letters", ["ab", "abcdefgh", "가나다 a", "etaoinshrdluetaoinetaoeexq"])
+@pytest.mark.parametrize("longest", [60, 500])
+def test_bounded_ratio_equals_library(letters, longest):
+    r = random.Random(7)
+    for _ in range(150):
+        a = "".join(r.choices(letters, k=r.randrange(longest)))
+        b = "".join(r.choices(letters, k=r.randrange(longest))) if r.random() < 0.4 else changed(r, a, letters)
+        known, least, whole = Second(b), r.random(), block_ratio(a, b)
+        found = block_ratio_from(a, known, least)
+        assert block_ratio_from(a, known) == whole and (found == whole or found == -1 and whole < least)
+
+
+def test_distance_is_computed_once(spark):
+    """A filter on what follows from it stays above the distance."""
+    rows = with_edit_similarity(spark.createDataFrame([("ab", "ac")], "t string, h string"), "t", "h").where("similarity < 0.9")
+    assert rows._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1 and rows.count() == 1
+
+
 def test_scores(spark):
     r = spark.range(1).select(
         guarded_ratio(F.lit(""), F.lit("a")).alias("g"), word_membership_score(F.array(*map(F.lit, "abc")), F.array(*map(F.lit, "abcd"))).alias("w"),
