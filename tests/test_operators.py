@@ -245,3 +245,14 @@ def test_locate():
     raw = rng.normal(size=4000)
     at, c = M.locate(raw[1500:1700], raw, 100, 14.0)
     assert abs(at - 15.0) < 1e-9 and c > 0.999
+
+
+def test_scripts_are_rows(spark):
+    """No table in Python for each script: its set-up cost more than a short script's alignment."""
+    segments = spark.createDataFrame([(k, 0, 0, "hello there") for k in range(20)], "script_id int, file_idx int, seg_idx int, text string")
+    lines = spark.createDataFrame([(k, 1, "hello there") for k in range(21)], "script_id int, line_no int, text string")
+    files = spark.createDataFrame([(k, 0, 1, 1) for k in range(21)], "script_id int, file_idx int, start_line int, end_line int")
+    for found in (A.align(segments, lines, files), A.align_by_line(segments, lines, files)):
+        assert "CoGroup" not in found._jdf.queryExecution().toString()
+        rows = {r["script_id"]: (r["kind"], r["line_no"]) for r in found.collect()}
+        assert rows == {k: ("match" if k < 20 else "skip", 1) for k in range(21)}
