@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import string
 import unicodedata
 
 import pandas as pd
@@ -11,6 +12,9 @@ from pyspark.sql import types as T
 
 from corvox.functions.constants import FORMAL_ENDINGS_LONGEST_FIRST
 
+#: Letters and digits one by one: Java looks these up in a table, but compares a character with each range.
+ASCII = string.ascii_letters + string.digits
+
 
 @F.pandas_udf(T.StringType())
 def nfc(text: pd.Series) -> pd.Series:
@@ -26,7 +30,7 @@ def four_places(x: pd.Series) -> pd.Series:
 
 def letters_only(text: Column) -> Column:
     """Delete all but Hangul syllables and ASCII letters and digits; case stays."""
-    return F.regexp_replace(text, "[^가-힣a-zA-Z0-9]", "")
+    return F.regexp_replace(text, f"[^{ASCII}가-힣]+", "")
 
 
 def eval_text(text: Column, composed: bool = False) -> Column:
@@ -42,8 +46,8 @@ def detector_text(text: Column, composed: bool = False) -> Column:
 
 def spoken_text(text: Column) -> Column:
     """Word characters, white space and Hangul (with jamo) stay; blanks collapse; case kept."""
-    kept = F.regexp_replace(text, r"(?U)[^\p{L}\p{N}_\s가-힣ㄱ-ㅎㅏ-ㅣ]", "")
-    return F.trim(F.regexp_replace(kept, r"(?U)\s+", " "))
+    kept = F.regexp_replace(text, rf"(?U)[^{ASCII} _\p{{L}}\p{{N}}\s가-힣ㄱ-ㅎㅏ-ㅣ]+", "")
+    return F.trim(F.regexp_replace(kept, r"(?U)\s{2,}|[\s&&[^ ]]", " "))  # a lone blank stays as it is
 
 
 def word_list(text: Column) -> Column:
