@@ -8,7 +8,7 @@ import wave
 import numpy as np
 import pandas as pd
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -76,10 +76,18 @@ def manifest_rows(lines: DataFrame, value: str = "value") -> DataFrame:
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """Pos, filename, text in the file's order, duplicates kept (``dedupe`` has the
-    policies); pos rises within a file and is not gapless."""
-    lines = spark.read.text(path).withColumn("pos", F.monotonically_increasing_id())
-    return manifest_rows(lines).select("pos", "filename", "text")
+    """Pos, filename, text, duplicates kept (``dedupe`` has the policies); pos counts all
+    lines from 0, files in order of their names.
+
+    Spark reads large files first, so an id that rises over tasks doesn't follow the names. Lines
+    are counted a split (a row each, ordered together), and a line's place in its split is added.
+    """
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_id"))
+    splits = lines.groupBy("_file", "_block").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.select("_file", "_block", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    placed = lines.join(splits.toDF("_f", "_b", "_first", "_start"), (F.col("_file") == F.col("_f")) & (F.col("_block") == F.col("_b")))
+    return manifest_rows(placed.withColumn("pos", F.col("_start") + F.col("_id") - F.col("_first"))).select("pos", "filename", "text")
 
 
 def list_audio(spark: SparkSession, path: str, anchored: str = "") -> DataFrame:

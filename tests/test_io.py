@@ -106,3 +106,19 @@ def test_scripts_are_reencoded_once(spark, tmp_path):
 
 def test_versions_are_claimed(spark, tmp_path):
     assert [K.versioned_dir(spark, str(tmp_path), "run")[-2:] for _ in range(3)] == ["v1", "v2", "v3"]
+
+
+def test_manifest_order_over_files(spark, tmp_path):
+    """Files of rising size: read by size, the last would come first."""
+    folder, k = tmp_path / "m", 0
+    folder.mkdir()
+    for part, n in enumerate((1, 50, 3000)):
+        (folder / f"part-{part:05d}.txt").write_text("".join(f"{k + j:06d}.wav|t\n" for j in range(n)))
+        k += n
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")  # the last file in several splits
+    try:
+        got = {r["filename"]: r["pos"] for r in R.read_manifest(spark, str(folder)).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == {f"{j:06d}.wav": j for j in range(k)}
