@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,6 +21,52 @@ def best_match(queries: DataFrame, segments: DataFrame, score: Column, query_id:
     return rated.groupBy(query_id).agg(F.max_by(F.struct(*order, "score"), rank).alias("best")).select(query_id, *(f"best.{c}" for c in order), "best.score")
 
 
+def best_match_words(queries: DataFrame, segments: DataFrame, query_id: str, text: str, order: list[str], max_queries: int = 10_000) -> DataFrame:
+    """J5 scored by shared words: the share of a query's distinct words (split at blanks, lower case)
+    that a segment has; the first in ``order`` of equals. Queries (``query_id``, ``text``) come to the
+    driver behind a check of their number.
+
+    A segment's words are looked up in lists of the queries that have them, so a pair without a
+    common word costs nothing; a task gives its best segment for each query, and its first one for
+    queries that none resembles.
+    """
+    asked = queries.select(query_id, F.lower(text).alias("text")).limit(max_queries + 1).collect()
+    if len(asked) > max_queries:
+        raise ValueError(f"more than {max_queries} queries: search them in blocks")
+    having: dict[str, list[int]] = {}
+    sizes = np.ones(len(asked))
+    for k, row in enumerate(asked):
+        words = set() if row["text"] is None else set(row["text"].split(" "))
+        sizes[k] = max(1, len(words))
+        for w in words:
+            having.setdefault(w, []).append(k)
+    lists = {w: np.array(ks) for w, ks in having.items()}
+    rows = segments.select(*order, F.lower(text).alias("text"))
+
+    def run(batches):
+        best, at, first = np.zeros(len(asked), np.int64), [None] * len(asked), None
+        for batch in batches:
+            *places, texts = (c.to_pylist() for c in batch.columns)
+            for place, said in zip(zip(*places, strict=True), texts, strict=True):
+                first = place if first is None or place < first else first
+                found = [lists[w] for w in set((said or "").split(" ")) if w in lists] if said is not None else []
+                if not found:
+                    continue
+                shared = np.bincount(np.concatenate(found), minlength=len(asked))
+                for k in np.flatnonzero((shared >= best) & (shared > 0)):
+                    if shared[k] > best[k] or at[k] is None or place < at[k]:
+                        best[k], at[k] = shared[k], place
+        if first is not None:
+            out = [(k, *(p or first), int(n)) for k, (p, n) in enumerate(zip(at, best, strict=True))]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["_query", *order, "shared"]) if out else pa.RecordBatch.from_pylist([], pa.schema([(c, pa.int64()) for c in ("_query", *order, "shared")]))
+
+    kinds = ", ".join(f"`{c}` long" for c in ("_query", *order, "shared"))
+    rank = F.struct(F.col("shared"), *((-F.col(c)).alias(f"o{k}") for k, c in enumerate(order)))
+    best = rows.mapInArrow(run, kinds).groupBy("_query").agg(F.max_by(F.struct(*order, "shared"), rank).alias("best"))
+    known = queries.sparkSession.createDataFrame([(k, row[query_id], None if row["text"] is None else float(sizes[k])) for k, row in enumerate(asked)], f"_query long, `{query_id}` {queries.schema[query_id].dataType.simpleString()}, _size double")
+    return best.join(F.broadcast(known), "_query").select(query_id, *(f"best.{c}" for c in order), (F.col("best.shared") / F.col("_size")).alias("score"))  # at most max_queries rows
+
+
 def script_audio(audio: DataFrame, scripts: DataFrame) -> DataFrame:
     """Recordings with their script; ``status`` tells those whose script is missing."""
     known = scripts.select("script_id").distinct().withColumn("_known", F.lit(True))

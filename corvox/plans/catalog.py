@@ -1023,10 +1023,7 @@ def recovery_match_ratio(s, d):
     r AS (SELECT item_id, doc_id, line_no, len(list_intersect(w, v))::DOUBLE / len(w) AS score FROM q, t), k AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id, line_no) AS n FROM r) FINAL SELECT item_id, doc_id, line_no, score FROM k WHERE n = 1""")
 def best_match_exhaustive(s, d):
     """Benchmark items against all lines, by shared words."""
-    words = lambda c: F.array_distinct(F.split(F.lower(c), " "))
-    q = table(s, d, "benchmark").select("item_id", words("text").alias("w"))
-    t = X0.spread(lines(s, d)).select("doc_id", "line_no", words("text").alias("v"))
-    return M.best_match(q, t, F.size(F.array_intersect("w", "v")) / F.size("w"), "item_id", ["doc_id", "line_no"])
+    return M.best_match_words(table(s, d, "benchmark"), X0.spread(lines(s, d)), "item_id", "text", ["doc_id", "line_no"])
 
 
 # -- events -----------------------------------------------------------------------------

@@ -256,3 +256,13 @@ def test_scripts_are_rows(spark):
         assert "CoGroup" not in found._jdf.queryExecution().toString()
         rows = {r["script_id"]: (r["kind"], r["line_no"]) for r in found.collect()}
         assert rows == {k: ("match" if k < 20 else "skip", 1) for k in range(21)}
+
+
+def test_best_match_by_words_has_no_cross_join(spark):
+    """Equal to the search over all pairs, ties and queries that nothing resembles included."""
+    asked = spark.createDataFrame([(1, "a b c"), (2, "zz"), (3, "b  x"), (4, None)], "item_id long, text string")
+    told = spark.createDataFrame([(2, 1, "C b"), (1, 3, "b c"), (1, 2, "q"), (5, 1, "a B c d")], "doc_id long, line_no long, text string")
+    found = M.best_match_words(asked, told, "item_id", "text", ["doc_id", "line_no"])
+    assert "CartesianProduct" not in found._jdf.queryExecution().toString()
+    got = {r["item_id"]: tuple(r)[1:] for r in found.collect()}
+    assert got == {1: (5, 1, 1.0), 2: (1, 2, 0.0), 3: (1, 3, 1 / 3), 4: (1, 2, None)}
