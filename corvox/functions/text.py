@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import string
 import unicodedata
 
@@ -14,6 +15,13 @@ from corvox.functions.constants import FORMAL_ENDINGS_LONGEST_FIRST
 
 #: Letters and digits one by one: Java looks these up in a table, but compares a character with each range.
 ASCII = string.ascii_letters + string.digits
+#: What Java's ``\\s`` with ``(?U)`` is: Unicode's white space.
+WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+#: Bytes of UTF-8: lower case of ASCII letters, those that aren't ASCII letters or digits, and those that begin no Hangul syllable.
+_LOWER = bytes(range(256)).lower()
+_OTHER = bytes(b for b in range(256) if chr(b) not in ASCII)
+_NO_LEAD = bytes(b for b in range(256) if not 0xEA <= b <= 0xED)
+_NO_LETTERS = re.compile("[^a-zA-Z0-9가-힣]+")
 
 
 @F.pandas_udf(T.StringType())
@@ -39,6 +47,14 @@ def eval_text(text: Column, composed: bool = False) -> Column:
     return F.lower(letters_only(text if composed else nfc(text)))
 
 
+def composed_eval_text(text: str) -> str:
+    """N2 of one text in NFC. A text without Hangul keeps ASCII alone, so its bytes go through a table."""
+    coded = text.encode("utf-8", "replace")
+    if not text.isascii() and coded.translate(None, _NO_LEAD):
+        return _NO_LETTERS.sub("", text).lower()
+    return coded.translate(_LOWER, _OTHER).decode("ascii")
+
+
 def detector_text(text: Column, composed: bool = False) -> Column:
     """NFC, N1, case kept."""
     return letters_only(text if composed else nfc(text))
@@ -56,8 +72,8 @@ def word_list(text: Column) -> Column:
 
 
 def strip(text: Column) -> Column:
-    """White space of any kind off both ends (``trim`` takes blanks only)."""
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    """White space of any kind off both ends (``trim`` takes blanks only unless told)."""
+    return F.trim(text, F.lit(WHITE))
 
 
 def script_key(filename: Column) -> Column:

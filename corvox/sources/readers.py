@@ -43,9 +43,10 @@ def script_lines(scripts: DataFrame, key: str, text: str, start_line: int = 1) -
     """S1 on texts: (key, line_no, text): stripped lines, blanks dropped before they are numbered from 1.
 
     Lines are numbered inside their row's array, without a shuffle: the array of non-blank
-    lines is exploded with its positions.
+    lines is exploded with its positions. They end at CR LF, CR or LF; as blanks are dropped,
+    each CR may count as an LF, and a split at one character needs no pattern.
     """
-    lines = F.filter(F.transform(F.split(F.col(text), r"\r\n|\r|\n"), strip), lambda line: line != "")
+    lines = F.filter(F.transform(F.split(F.replace(F.col(text), F.lit("\r"), F.lit("\n")), "\n"), strip), lambda line: line != "")
     rows = scripts.select(key, F.posexplode(lines).alias("p", "text"))
     return rows.select(key, (F.col("p") + 1).alias("line_no"), "text").where(F.col("line_no") >= start_line)
 

@@ -142,3 +142,25 @@ def test_korean_endings_cover_all_documents(spark, tmp_path):
     spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
     found = {r["doc_id"]: r["ending"] for r in QUERIES["korean_endings"](spark, str(tmp_path)).collect()}
     assert found == {0: "것이었습니다", 1: "었습니다", 2: None, 3: None, 4: None, 5: None}
+
+
+ODD_LINES = ["Ab c-1!", "  가나 다A é ", " \x85", "Grüße, 東京 9", "ꀀ x\U0001f600Y", "\x1cq\x1c", "", "x" * 30, "한글" * 20, "　é "]
+
+
+def test_lines_and_hearings_need_no_patterns(spark, tmp_path):
+    """Each character went through five patterns; the results are theirs."""
+    from corvox.plans.fixtures import pairs
+
+    texts = ["\r\n".join(ODD_LINES), "\r".join(ODD_LINES), "\n\r".join(ODD_LINES * 9), "", None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("source", F.lit("s")).write.parquet(f"{tmp_path}/documents.parquet")
+    rows = pairs(spark, str(tmp_path))
+    assert "regexp_replace" not in rows.drop("plain")._jdf.queryExecution().executedPlan().toString()
+    found = rows.orderBy("doc_id", "line_no").select("doc_id", "line_no", "text", "truth", "heard").collect()
+    whole = spark.read.parquet(f"{tmp_path}/documents.parquet").select("doc_id", F.explode(F.split("text", r"\r\n|\r|\n")).alias("raw")).select("doc_id", F.regexp_replace("raw", r"(?U)^\s+|\s+$", "").alias("text"))
+    old = whole.where("text <> ''").withColumn("truth", X.eval_text(F.col("text"), composed=True)).collect()
+    assert sorted((r["doc_id"], r["text"], r["truth"]) for r in found) == sorted((r["doc_id"], r["text"], r["truth"]) for r in old)
+    cut = lambda c, n: F.regexp_replace(c, f"(.{{{n - 1}}}).", "$1")
+    t, n = F.col("truth"), F.col("line_no")
+    heard = F.when(n % 4 == 1, cut(t, 25)).when(n % 4 == 2, cut(t, 12)).when(n % 4 == 3, cut(t, 3)).when(n % 40 == 0, "").otherwise(t)
+    assert rows.where(~F.col("heard").eqNullSafe(heard)).count() == 0
+    assert [r["line_no"] for r in found if r["doc_id"] == 2] == list(range(1, 73))
