@@ -164,3 +164,35 @@ def test_lines_and_hearings_need_no_patterns(spark, tmp_path):
     heard = F.when(n % 4 == 1, cut(t, 25)).when(n % 4 == 2, cut(t, 12)).when(n % 4 == 3, cut(t, 3)).when(n % 40 == 0, "").otherwise(t)
     assert rows.where(~F.col("heard").eqNullSafe(heard)).count() == 0
     assert [r["line_no"] for r in found if r["doc_id"] == 2] == list(range(1, 73))
+
+
+def test_left_out_characters_are_found_quickly():
+    """A step of the interpreter for each character took about half as long again."""
+    from corvox.functions.similarity import _follows
+
+    def stepwise(short, long):
+        at = -1
+        for c in short:
+            at = long.find(c, at + 1)
+            if at < 0:
+                return False
+        return True
+
+    r = random.Random(5)
+    for letters in ("ab", "abcdefghij", "가나다라"):
+        for _ in range(300):
+            long = "".join(r.choices(letters, k=r.randrange(12)))
+            short = "".join(c for c in long if r.random() < 0.7) if r.random() < 0.5 else "".join(r.choices(letters, k=r.randrange(12)))
+            assert _follows(short, long) == stepwise(short, long)
+    long = "".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=50_000))
+    short = "".join(c for k, c in enumerate(long) if k % 25)
+
+    def best(run):
+        took = []
+        for _ in range(15):
+            began = time.perf_counter()
+            assert run(short, long)
+            took.append(time.perf_counter() - began)
+        return min(took)
+
+    assert best(_follows) < 0.9 * best(stepwise)
