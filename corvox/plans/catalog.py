@@ -443,7 +443,7 @@ def stability(s, d):
 def with_context(s, d):
     """Turns with N4 texts, the turns around them in global order, and what was heard: every
     third turn begins with the end of the one before, every fourth lacks its end."""
-    t = table(s, d, "conversations").withColumn("expected", X.spoken_text(F.col("text")))
+    t = X0.spread(table(s, d, "conversations")).withColumn("expected", X.spoken_text(F.col("text")))
     t = M.with_neighbours(t.select("conv_id", "turn", "expected"), "expected", ["conv_id", "turn"], block=F.floor(F.col("conv_id") / 1000))
     n = F.col("conv_id") + F.col("turn")
     heard = F.when(n % 3 == 0, F.concat(F.right("prev_text", F.lit(8)), "expected")).when(n % 4 == 0, F.left("expected", F.floor(F.length("expected") / 2).cast("int"))).when(n % 31 == 0, "").otherwise(F.col("expected"))
@@ -508,8 +508,8 @@ WORDED = CONTEXT + f""", w0 AS (SELECT *, {ASCII8.format('heard')} AS hh, {ASCII
 
 def ascii_context(s, d):
     plain = lambda c: F.regexp_replace(c, "[^a-zA-Z0-9 ]", "-")
-    t = with_context(s, d)
-    return X0.spread(t).withColumn("raw_heard", F.col("heard")).withColumns({c: plain(c) for c in ("heard", "expected", "prev_text", "next_text")})
+    near = {"prev_text": F.right("prev_text", F.lit(8)), "next_text": F.left("next_text", F.lit(8))}  # no more of them is looked at
+    return X0.dealt(with_context(s, d).withColumns(near)).withColumn("raw_heard", F.col("heard")).withColumns({c: plain(c) for c in ("heard", "expected", "prev_text", "next_text")})
 
 
 @register("truncation_words_cer", "conv_id long, turn long, cut_start boolean, cut_end boolean", f"WITH {WORDED} FINAL SELECT conv_id, turn, cut_start, cut_end FROM w3")
@@ -541,7 +541,7 @@ def qc_issue_histogram_cer(s, d):
 
 
 def checked(s, d):
-    t = X0.spread(with_context(s, d)).withColumn("similarity", guarded_ratio(F.col("heard"), F.col("expected")))
+    t = X0.dealt(with_context(s, d)).withColumn("similarity", guarded_ratio(F.col("heard"), F.col("expected")))
     return Q.quality(t).withColumn("filename", F.format_string("Script_%d_%04d.wav", "conv_id", "turn"))
 
 

@@ -25,11 +25,18 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
 
 def spread(df: DataFrame) -> DataFrame:
     """Small files are read by few tasks; heavy work per row is dealt to all cores first. Larger
-    inputs already have more tasks than cores and stay as they are."""
+    inputs already have more tasks than cores and stay as they are. Not for rows that were
+    shuffled: to count their tasks Spark runs all the shuffles, and again for the result."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """Rows that were shuffled, dealt to all cores."""
+    spark = df.sparkSession
+    return df.repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+
 def lines(spark: SparkSession, d: str) -> DataFrame:
     """doc_id, source, line_no, text."""
     docs = table(spark, d, "documents").select(F.struct("doc_id", "source").alias("k"), "text")

@@ -266,3 +266,19 @@ def test_best_match_by_words_has_no_cross_join(spark):
     assert "CartesianProduct" not in found._jdf.queryExecution().toString()
     got = {r["item_id"]: tuple(r)[1:] for r in found.collect()}
     assert got == {1: (5, 1, 1.0), 2: (1, 2, 0.0), 3: (1, 3, 1 / 3), 4: (1, 2, None)}
+
+
+def test_checked_turns_are_made_once(spark, tmp_path):
+    """Counting the tasks of shuffled rows ran their shuffles, and texts were normalised again for the blocks' edges."""
+    from corvox.plans import catalog
+
+    turns = [(c, t, f"wörter  {c} and_{t}, näher" * (t + 1)) for c in range(900, 1100, 20) for t in range(3)]
+    spark.createDataFrame(turns, "conv_id long, turn long, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    spark.sparkContext.setJobGroup("turns", "queries as they are built")
+    rows = catalog.checked_cer(spark, str(tmp_path))
+    built = spark.sparkContext.statusTracker().getJobIdsForGroup("turns")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(built) <= 1  # the files' schema
+    assert rows.count() == len(turns) and not {"_spoken", "_told"} & set(rows.columns)
+    rows.collect()
+    assert "ReusedExchange" in rows._jdf.queryExecution().executedPlan().toString()
