@@ -471,7 +471,7 @@ ASCII8 = "regexp_replace({}, '[^a-zA-Z0-9 ]', '-', 'g')"
 )
 def neighbour_bleed_cer(s, d):
     """J12, W1, W2 scored by edit distance on ASCII."""
-    plain = lambda c: F.regexp_replace(c, "[^a-zA-Z0-9 ]", "-")
+    plain = lambda c: F.regexp_replace(c, f"[^{X.ASCII} ]", "-")
     score = lambda a, b: 1 - error_rate(F.levenshtein(a, b), F.greatest(F.length(a), F.length(b)))
     t = with_context(s, d).select("conv_id", "turn", plain("heard").alias("heard"), plain("prev_text").alias("p"), plain("next_text").alias("x"))
     return t.select("conv_id", "turn", Q.start_bleed(F.col("heard"), F.col("p"), score).alias("start_bleed"), Q.end_bleed(F.col("heard"), F.col("x"), score).alias("end_bleed"))
@@ -507,7 +507,7 @@ WORDED = CONTEXT + f""", w0 AS (SELECT *, {ASCII8.format('heard')} AS hh, {ASCII
 
 
 def ascii_context(s, d):
-    plain = lambda c: F.regexp_replace(c, "[^a-zA-Z0-9 ]", "-")
+    plain = lambda c: F.regexp_replace(c, f"[^{X.ASCII} ]", "-")
     near = {"prev_text": F.right("prev_text", F.lit(8)), "next_text": F.left("next_text", F.lit(8))}  # no more of them is looked at
     return X0.dealt(with_context(s, d).withColumns(near)).withColumn("raw_heard", F.col("heard")).withColumns({c: plain(c) for c in ("heard", "expected", "prev_text", "next_text")})
 

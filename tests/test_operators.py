@@ -280,5 +280,6 @@ def test_checked_turns_are_made_once(spark, tmp_path):
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     assert len(built) <= 1  # the files' schema
     assert rows.count() == len(turns) and not {"_spoken", "_told"} & set(rows.columns)
+    assert "a-zA-Z0-9" not in rows._jdf.queryExecution().executedPlan().toString()  # ranges took five times as long as letters listed
     rows.collect()
     assert "ReusedExchange" in rows._jdf.queryExecution().executedPlan().toString()
